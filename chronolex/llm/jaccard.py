@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,8 +73,23 @@ def has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def cells(s: np.ndarray) -> bytes:
-    """Counts of the shingles in CELLS parts of their space, up to 255: L1 differences bound the symmetric difference from below."""
-    return np.minimum(np.bincount((s.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
+    """Counts of the shingles in equal parts of their space, up to 255: L1 differences bound the symmetric difference from below.
+
+    A power of two of parts, n / 8 at least and CELLS at least: with fewer, chance differences of long texts stay under the radius.
+    """
+    k = max(CELLS, 1 << max(0, (len(s) - 1) // 8).bit_length())
+    return np.minimum(np.bincount((s.view(np.uint64) >> np.uint64(65 - k.bit_length())).astype(np.int64), minlength=k), 255).astype(np.uint8).tobytes()
+
+
+def fold(c: np.ndarray, k: int) -> np.ndarray:
+    return c.reshape(k, -1).sum(axis=1, dtype=np.int64)
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Least size of the symmetric difference by the cells of two sets, in the parts of the coarser one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    k = min(len(a), len(b))
+    return int(np.abs(fold(a, k) - fold(b, k)).sum())
 
 
 def first_pivots(s: np.ndarray, moved: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -147,8 +163,47 @@ def unmoved(nodes: DataFrame, moved) -> DataFrame:
     return nodes.mapInArrow(run, nodes.schema)
 
 
-def region_rows(nodes: DataFrame, keep, drop) -> DataFrame:
-    """pivot, key, n, cells for every pivot of a node's window with its bit set in keep and not in drop."""
+def met_twice(nodes: DataFrame) -> np.ndarray:
+    """Bitmap of the places (pivot mod SHARED_BITS) that two windows or more have: a filter before pivots are counted exactly.
+
+    A task packs what it saw once and twice into two bits a place, in compressed blocks; blocks are merged in two levels, so
+    that the rows of one merge stay few. A full bitmap lets everything through to the exact count.
+    """
+    block = 1 << 15
+
+    def packed(block_: int, once: np.ndarray, twice: np.ndarray) -> tuple[int, bytes]:
+        return block_, zstandard.compress(np.packbits(once).tobytes() + np.packbits(twice).tobytes(), 1)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SHARED_BITS, np.uint8)
+        for b in batches:
+            place, count = np.unique(np.asarray(b.column("window").flatten()).view(np.uint64) & np.uint64(SHARED_BITS - 1), return_counts=True)
+            place = place.astype(np.int64)
+            seen[place] = np.minimum(seen[place] + np.minimum(count, 2), 2)
+        rows = seen.reshape(-1, block)
+        out = [packed(int(i), rows[i] > 0, rows[i] > 1) for i in np.flatnonzero(rows.any(axis=1))]
+        del seen, rows
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int32()), pa.array([d for _, d in out], pa.binary())], ["block", "data"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        once = twice = np.zeros(block // 8, np.uint8)
+        for d in table["data"].to_pylist():
+            both = np.frombuffer(zstandard.decompress(d), np.uint8)
+            twice = twice | both[block // 8 :] | (once & both[: block // 8])
+            once = once | both[: block // 8]
+        return pa.table({"block": table["block"][:1], "data": pa.array([zstandard.compress(once.tobytes() + twice.tobytes(), 1)], pa.binary())})
+
+    rows = nodes.select("window").mapInArrow(gather, "block int, data binary").withColumn("part", F.spark_partition_id() % 64)
+    merged = rows.groupBy("block", "part").applyInArrow(lambda table: merge(table), "block int, data binary")
+    merged = merged.groupBy("block").applyInArrow(merge, "block int, data binary")
+    out = np.zeros(SHARED_BITS // 8, np.uint8)
+    for r in merged.toLocalIterator():  # SHARED_BITS / 8 bytes in all
+        out[r[0] * (block // 8) : (r[0] + 1) * (block // 8)] = np.frombuffer(zstandard.decompress(r[1]), np.uint8)[block // 8 :]
+    return out
+
+
+def region_rows(nodes: DataFrame, keep, drop, bare: bool = False) -> DataFrame:
+    """pivot (with bare alone), key, n, cells for every pivot of a node's window with its bit set in keep and not in drop."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,18 +213,23 @@ def region_rows(nodes: DataFrame, keep, drop) -> DataFrame:
             if drop is not None:
                 ok &= ~has(drop.value, pivots)
             at = np.flatnonzero(ok)
+            if bare:
+                yield pa.RecordBatch.from_arrays([pa.array(pivots[at])], ["pivot"])
+                continue
             owner = pa.array(np.searchsorted(ends, at, side="right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(pivots[at]), *[b.column(c).take(owner) for c in ("key", "n", "cells")]], ["pivot", "key", "n", "cells"])
+            coarse = pa.array([np.minimum(fold(np.frombuffer(c, np.uint8), CELLS), 255).astype(np.uint8).tobytes() for c in b.column("cells").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(pivots[at]), *[c.take(owner) for c in (b.column("key"), b.column("n"), coarse)]], ["pivot", "key", "n", "cells"])
 
-    return nodes.select("key", "n", "window", "cells").mapInArrow(run, "pivot long, key long, n int, cells binary")
+    columns = ["window"] if bare else ["key", "n", "window", "cells"]
+    return nodes.select(*columns).mapInArrow(run, "pivot long" if bare else "pivot long, key long, n int, cells binary")
 
 
 def within(na: np.ndarray, nb: np.ndarray, ca: np.ndarray, cb: np.ndarray, num: int, den: int) -> np.ndarray:
     """Pairs that their sizes and cells do not rule out: |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|)."""
     ok = den * np.minimum(na, nb) >= num * np.maximum(na, nb)
     at = np.flatnonzero(ok)
-    apart = np.abs(ca[at].astype(np.int16) - cb[at].astype(np.int16)).sum(axis=1, dtype=np.int64)
-    ok[at] = (den + num) * apart <= (den - num) * (na[at] + nb[at])
+    least = np.abs(ca[at].astype(np.int16) - cb[at].astype(np.int16)).sum(axis=1, dtype=np.int64)
+    ok[at] = (den + num) * least <= (den - num) * (na[at] + nb[at])
     return ok
 
 
@@ -227,9 +287,23 @@ def with_sets(df: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.join(wanted, (F.col("id") == F.col("rep")) & (F.octet_length("set") == F.col("n") * 8)).dropDuplicates(["key", "mark"]).select("key", "set")
 
 
+def near(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) pairs that the sizes and all cells of their sets do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(c).to_pylist() for c in ("na", "nb", "ca", "cb")), strict=True)
+            ok = [den * min(m, n) >= num * max(m, n) and (den + num) * apart(x, y) <= (den - num) * (m + n) for m, n, x, y in rows]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    a = nodes.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
+    b = nodes.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(a, b, common) of the pairs whose sets have den * common >= num * union."""
-    pairs = cut(pairs)
+    pairs = cut(near(pairs, nodes, num, den))
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     held = cut(with_sets(df, keys.join(nodes.select("key", "rep", "n"), "key"), words))
 
@@ -255,19 +329,7 @@ def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, w
     heads = rows.groupBy("pivot").agg(F.min("key").alias("head"))
     members = cut(rows.join(heads, "pivot").select("head", "key").distinct())
     star = members.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    side = nodes.select("key", "n", "cells")
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if len(b):
-                c = [np.frombuffer(b"".join(b.column(x).to_pylist()), np.uint8).reshape(len(b), CELLS) for x in ("ca", "cb")]
-                ok = within(*(np.asarray(b.column(x)).astype(np.int64) for x in ("na", "nb")), *c, num, den)
-                yield b.select(["a", "b"]).filter(pa.array(ok))
-
-    both = star.join(side.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca")), "a").join(
-        side.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb")), "b"
-    )
-    links = cut(links.unionByName(verify(both.mapInArrow(near, "a long, b long"), nodes, df, words, num, den).select("a", "b")))
+    links = cut(links.unionByName(verify(star, nodes, df, words, num, den).select("a", "b")))
     roots = components(links)
     # members of one component need no more tests among themselves
     members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -286,13 +348,14 @@ def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, w
     needed = cut(with_sets(df, members.select("key").distinct().join(nodes.select("key", "rep", "n"), "key"), words))
     cols = ["head", "q", "m", "key", "root", "near"]
     met = queries.select(*cols, F.lit(True).alias("query")).unionByName(others.select(*cols, F.lit(False).alias("query")))
-    met = met.join(needed, "key").join(side, "key")
+    met = met.join(needed, "key").join(nodes.select("key", "n", "cells"), "key")
 
     def block(table: pa.Table) -> pa.Table:
         query = table["query"].to_numpy(zero_copy_only=False).astype(bool)
         key, root = table["key"].to_numpy(), table["root"].to_numpy()
         n = table["n"].to_numpy().astype(np.int64)
-        c = np.frombuffer(b"".join(table["cells"].to_pylist()), np.uint8).reshape(len(table), CELLS)
+        fine = table["cells"].to_pylist()
+        c = np.stack([np.minimum(fold(np.frombuffer(x, np.uint8), CELLS), 255).astype(np.uint8) for x in fine])
         held = [np.frombuffer(x, np.int64) for x in table["set"].to_pylist()]
         all_ = np.flatnonzero(~query)
         a, b = [], []
@@ -300,6 +363,8 @@ def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, w
             j = all_[root[all_] != root[i]]
             j = j[within(np.full(len(j), n[i]), n[j], np.broadcast_to(c[i], (len(j), CELLS)), c[j], num, den)]
             for k in j:
+                if (den + num) * apart(fine[i], fine[k]) > (den - num) * (n[i] + n[k]):
+                    continue
                 common = len(np.intersect1d(held[i], held[k], assume_unique=True))
                 if den * common >= num * (n[i] + n[k] - common):
                     a.append(min(key[i], key[k]))
@@ -331,7 +396,7 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
     moved = np.zeros(MOVED_BITS // 8, np.uint8)
     parts, counts = nodes, None
     for r in range(ROUNDS + 1):
-        counts = cut(parts.select(F.explode("window").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+        counts = cut(region_rows(parts, share(met_twice(parts)), None, bare=True).groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
         hot = bitmap(counts.where(F.col("c") > REGION), "pivot", MOVED_BITS)
         if r == ROUNDS or not (hot & ~moved).any():
             break
