@@ -9,7 +9,9 @@ shingles that it must share one of the first |x| - ceil(t|x|) + 1; this is the w
 Regions join recursively:
 
 1. A region of more than REGION sets is dissolved: its pivot moves to the end of the order, and the sets that met in it
-   go on to their next pivots. A fixed-size bitmap says which pivots moved; a false hit moves one more, which any order allows.
+   go on to their next pivots. Shingles that are frequent within chunks of documents move before the first windows are taken,
+   others after an exact count of the regions. A fixed-size bitmap says which pivots moved; a false hit moves one more, which
+   any order allows.
 2. A region that stays small compares its sets pairwise, pruned by size and by the lower bound that counts in cells of the
    shingle space give for the symmetric difference, itself a metric.
 3. A region that stays large is a cloud of near copies. Its smallest set becomes a document pivot; every member's distance to
@@ -35,10 +37,15 @@ from chronolex.llm.graph import components
 from chronolex.llm.shingles import sets
 
 REGION = 64
-#: Times that regions are dissolved; what is then still large is joined as a cloud.
-ROUNDS = 2
+#: Times that regions are dissolved after an exact count; what is then still large is joined as a cloud.
+ROUNDS = 1
+#: Shingles of a chunk of documents that are counted together, and sets of it that must share one for it to count as frequent.
+CHUNK_SHINGLES = 1 << 21
+CHUNK_SHARED = 3
 CELLS = 64
 BLOCK = 1024
+#: Nearest members of other components that a query of a cloud is tested against in each pass; the last pass tests all that are left.
+PASSES = (4, 64, None)
 #: Sizes of the bitmaps that are broadcast, in bits, whatever the input.
 MOVED_BITS = 1 << 20
 SHARED_BITS = 1 << 25
@@ -104,7 +111,37 @@ def longs(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int32)), pa.array(flat))
 
 
-def digests(df: DataFrame, words: int, num: int, den: int, seed: int) -> DataFrame:
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def frequent(df: DataFrame, words: int) -> DataFrame:
+    """pivot and c: shingles that CHUNK_SHARED different sets of a chunk share, with the sum of these counts over all chunks."""
+
+    def count(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, times = np.unique(np.concatenate(held), return_counts=True)
+        ok = times >= CHUNK_SHARED
+        return pa.RecordBatch.from_arrays([pa.array(values[ok]), pa.array(times[ok])], ["pivot", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+        for b in batches:
+            for s in sets(b.column("text").to_pylist(), words):
+                mark = xxhash.xxh3_64_intdigest(s.tobytes())
+                if mark not in seen and len(s):
+                    seen.add(mark)
+                    held.append(s)
+                    size += len(s)
+            if size >= CHUNK_SHINGLES:
+                yield count(held)
+                held, size, seen = [], 0, set()
+        if held:
+            yield count(held)
+
+    return df.select("text").mapInArrow(run, "pivot long, c long").groupBy("pivot").agg(F.sum("c").alias("c"))
+
+
+def digests(df: DataFrame, moved, words: int, num: int, den: int, seed: int) -> DataFrame:
     """id, n, key, check of every document, and window and cells of the first one with that key in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,36 +150,38 @@ def digests(df: DataFrame, words: int, num: int, den: int, seed: int) -> DataFra
             n, key, check, firsts, parts = [], [], [], [], []
             for s in sets(b.column("text").to_pylist(), words):
                 h = xxhash.xxh3_128_intdigest(s.tobytes(), seed)
-                k, c = (x - (1 << 64) if x >> 63 else x for x in (h & (1 << 64) - 1, h >> 64))
+                k = signed(h & (1 << 64) - 1)
                 fresh = k not in seen and len(s) > 0
                 seen.add(k)
                 n.append(len(s))
                 key.append(k)
-                check.append(c)
-                firsts.append(s[: window(len(s), num, den)] if fresh else s[:0])
+                check.append(signed(h >> 64))
+                firsts.append(first_pivots(s, moved.value, num, den) if fresh else s[:0])
                 parts.append(cells(s) if fresh else None)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(key, pa.int64()), pa.array(check, pa.int64()), longs(firsts), pa.array(parts, pa.binary())], ["id", "n", "key", "check", "window", "cells"])
 
     return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, n int, key long, check long, window array<long>, cells binary")
 
 
-def moved_windows(df: DataFrame, moved, words: int, num: int, den: int, seed: int) -> DataFrame:
-    """Key, n, window and cells of each set whose first pivots include one that moved."""
+def moved_windows(df: DataFrame, before, after, words: int, num: int, den: int, seed: int) -> DataFrame:
+    """Key, n, window and cells of each set whose window has a pivot that moved since: the window in the new order.
+
+    A set without one keeps its window: what comes first in it stays first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = after.value & ~before.value
         seen: set[int] = set()
         for b in batches:
             n, key, firsts, parts = [], [], [], []
             for s in sets(b.column("text").to_pylist(), words):
-                k = window(len(s), num, den)
-                if k and has(moved.value, s[:k]).any():
-                    h = xxhash.xxh3_128_intdigest(s.tobytes(), seed) & (1 << 64) - 1
-                    h = h - (1 << 64) if h >> 63 else h
+                if len(s) and has(new, first_pivots(s, before.value, num, den)).any():
+                    h = signed(xxhash.xxh3_128_intdigest(s.tobytes(), seed) & (1 << 64) - 1)
                     if h not in seen:
                         seen.add(h)
                         n.append(len(s))
                         key.append(h)
-                        firsts.append(first_pivots(s, moved.value, num, den))
+                        firsts.append(first_pivots(s, after.value, num, den))
                         parts.append(cells(s))
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(key, pa.int64()), longs(firsts), pa.array(parts, pa.binary())], ["n", "key", "window", "cells"])
 
@@ -150,13 +189,14 @@ def moved_windows(df: DataFrame, moved, words: int, num: int, den: int, seed: in
     return cut(out.groupBy("key").agg(F.first("n").alias("n"), F.first("window").alias("window"), F.first("cells").alias("cells")))
 
 
-def unmoved(nodes: DataFrame, moved) -> DataFrame:
-    """The nodes none of whose first pivots moved."""
+def unmoved(nodes: DataFrame, before, after) -> DataFrame:
+    """The nodes whose window has no pivot that moved since."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = after.value & ~before.value
         for b in batches:
             lists = b.column("window")
-            hit = np.r_[0, np.cumsum(has(moved.value, np.asarray(lists.values)))]
+            hit = np.r_[0, np.cumsum(has(new, np.asarray(lists.values)))]
             ends = np.asarray(lists.offsets)
             yield b.filter(pa.array(hit[ends[1:]] == hit[ends[:-1]]))
 
@@ -325,54 +365,67 @@ def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: i
 
 def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links within regions of any size: by document pivots, triangle-inequality windows, and blocks of what is left."""
-    rows = cut(rows)
+    rows = cut(rows.select("pivot", "key"))
     heads = rows.groupBy("pivot").agg(F.min("key").alias("head"))
     members = cut(rows.join(heads, "pivot").select("head", "key").distinct())
     star = members.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    links = cut(links.unionByName(verify(star, nodes, df, words, num, den).select("a", "b")))
-    roots = components(links)
+    star = verify(star, nodes, df, words, num, den)
+    links = cut(links.unionByName(star.select("a", "b")))
+    for limit in PASSES:
+        found = cut(across(members, star, components(links), nodes, num, den, limit))
+        if found.isEmpty():
+            break
+        links = cut(links.unionByName(verify(found, nodes, df, words, num, den).select("a", "b")))
+    return links
+
+
+def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFrame, num: int, den: int, limit: int | None) -> DataFrame:
+    """(a, b) pairs of a cloud's members in different components that windows, sizes and cells do not rule out.
+
+    Members outside the main component of their cloud are queries; each gives its `limit` nearest partners by cells, or all.
+    """
     # members of one component need no more tests among themselves
     members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    linked = links.select(F.col("a").alias("head"), F.col("b").alias("key"), F.lit(True).alias("near"))
-    members = members.join(linked, ["head", "key"], "left").withColumn("near", F.coalesce("near", F.col("head") == F.col("key")))
+    members = members.join(star.select(F.col("a").alias("head"), F.col("b").alias("key"), "common"), ["head", "key"], "left")
     sizes = members.groupBy("head", "root").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("head").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    members = cut(members.join(main, "head"))
-    if members.isEmpty():
-        return links
+    members = members.join(main, "head")
+    side = nodes.select("key", "n", "cells")
+    members = members.join(side, "key").join(side.select(F.col("key").alias("head"), F.col("n").alias("head_n"), F.col("cells").alias("head_cells")), "head")
     part = lambda name: F.pmod(F.xxhash64("key", F.lit(name)), F.ceil(F.col("all") / BLOCK)).cast("int")
     # queries: members outside the main component; they meet every member, in blocks of either
     span = F.sequence(F.lit(0), (F.ceil(F.col("all") / BLOCK) - 1).cast("int"))
     queries = members.where("root <> main").withColumn("q", part("q")).withColumn("m", F.explode(span))
     others = members.withColumn("m", part("m")).withColumn("q", F.explode(span))
-    needed = cut(with_sets(df, members.select("key").distinct().join(nodes.select("key", "rep", "n"), "key"), words))
-    cols = ["head", "q", "m", "key", "root", "near"]
-    met = queries.select(*cols, F.lit(True).alias("query")).unionByName(others.select(*cols, F.lit(False).alias("query")))
-    met = met.join(needed, "key").join(nodes.select("key", "n", "cells"), "key")
+    met = queries.withColumn("query", F.lit(True)).unionByName(others.withColumn("query", F.lit(False)))
 
     def block(table: pa.Table) -> pa.Table:
         query = table["query"].to_numpy(zero_copy_only=False).astype(bool)
         key, root = table["key"].to_numpy(), table["root"].to_numpy()
         n = table["n"].to_numpy().astype(np.int64)
         fine = table["cells"].to_pylist()
+        head, head_n = table["head_cells"][0].as_py(), table["head_n"][0].as_py()
         c = np.stack([np.minimum(fold(np.frombuffer(x, np.uint8), CELLS), 255).astype(np.uint8) for x in fine])
-        held = [np.frombuffer(x, np.int64) for x in table["set"].to_pylist()]
-        all_ = np.flatnonzero(~query)
+        common = np.array(table["common"].to_numpy(zero_copy_only=False), float)
+        # exact distance from the pivot where the star linked it, else the radius of the space
+        far = np.where(np.isnan(common), 1.0, 1 - common / (n + head_n - common))
+        far[key == table["head"][0].as_py()] = 0.0
+        members_ = np.flatnonzero(~query)
         a, b = [], []
         for i in np.flatnonzero(query):
-            j = all_[root[all_] != root[i]]
+            least = apart(fine[i], head)
+            least = 2 * least / (n[i] + head_n + least)  # no nearer to the pivot than this
+            j = members_[(root[members_] != root[i]) & (least <= far[members_] + (den - num) / den + 1e-9)]
             j = j[within(np.full(len(j), n[i]), n[j], np.broadcast_to(c[i], (len(j), CELLS)), c[j], num, den)]
-            for k in j:
-                if (den + num) * apart(fine[i], fine[k]) > (den - num) * (n[i] + n[k]):
-                    continue
-                common = len(np.intersect1d(held[i], held[k], assume_unique=True))
-                if den * common >= num * (n[i] + n[k] - common):
-                    a.append(min(key[i], key[k]))
-                    b.append(max(key[i], key[k]))
+            near_ = sorted((apart(fine[i], fine[k]) / (n[i] + n[k]), key[k]) for k in j)
+            for d, other in near_[:limit]:
+                if (den + num) * d <= den - num + 1e-9:
+                    a.append(min(key[i], other))
+                    b.append(max(key[i], other))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = met.groupBy("head", "q", "m").applyInArrow(block, "a long, b long").distinct()
-    return cut(links.unionByName(found))
+    met = met.select("head", "q", "m", "key", "root", "n", "cells", "common", "head_n", "head_cells", "query")
+    return met.groupBy("head", "q", "m").applyInArrow(block, "a long, b long").distinct()
 
 
 def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -384,7 +437,9 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
     spark = df.sparkSession
     small_batches(spark)
     share = spark.sparkContext.broadcast
-    base = cut(digests(df, words, num, den, seed))
+    moved = bitmap(frequent(df, words).where(F.col("c") > REGION), "pivot", MOVED_BITS)
+    first = share(moved.copy())
+    base = cut(digests(df, first, words, num, den, seed))
     nodes = base.where("n > 0").groupBy("key").agg(
         F.min("id").alias("rep"), F.max("n").alias("n"),
         F.max("cells").alias("cells"), F.max(F.struct(F.size("window").alias("s"), "window"))["window"].alias("window"),
@@ -393,7 +448,6 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
     nodes = cut(nodes)
     if not nodes.where("clash").isEmpty():  # two sets with one key: take other keys
         return jaccard_links(df, words, num, den, seed + 1)
-    moved = np.zeros(MOVED_BITS // 8, np.uint8)
     parts, counts = nodes, None
     for r in range(ROUNDS + 1):
         counts = cut(region_rows(parts, share(met_twice(parts)), None, bare=True).groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
@@ -402,7 +456,7 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
             break
         moved |= hot
         sent = share(moved.copy())
-        parts = unmoved(nodes, sent).select("key", "n", "window", "cells").unionByName(moved_windows(df, sent, words, num, den, seed).select("key", "n", "window", "cells"))
+        parts = unmoved(nodes, first, sent).select("key", "n", "window", "cells").unionByName(moved_windows(df, first, sent, words, num, den, seed).select("key", "n", "window", "cells"))
     shared, large = share(bitmap(counts, "pivot", SHARED_BITS)), share(hot)
     links = verify(small_regions(region_rows(parts, shared, large), num, den), nodes, df, words, num, den).select("a", "b")
     if hot.any():
