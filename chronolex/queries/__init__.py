@@ -1,13 +1,7 @@
 """Registry of the queries over the driver's tables, with their SQL."""
 
-from __future__ import annotations
+from chronolex.queries import embeddings, ngrams  # noqa: F401
+from chronolex.queries.base import ORACLE_SQL, QUERIES
+from chronolex.queries.ngrams import flagship_top_ngrams
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def flagship_top_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
-
-
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship_top_ngrams"]
