@@ -27,6 +27,8 @@ ORDERS = (2, 3, 4)
 TRAIN_ROWS = 8000
 TRAIN_SUBWORDS = 256
 EPOCHS = 4
+#: Steps that a small sample is trained for at least.
+LEAST_STEPS = 300
 BATCH = 64
 RATE = 8.0
 REJECT = 0.001
@@ -139,8 +141,9 @@ def train(sample: list[tuple[str, list[int]]], seed: int = 7) -> Model:
     out += random.normal(0, 0.1, out.shape).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     label = np.array([languages.index(lang) for lang, _ in used])
-    steps, step = EPOCHS * -(-len(used) // BATCH), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // -(-len(used) // BATCH)))
+    steps, step = epochs * -(-len(used) // BATCH), 0
+    for _ in range(epochs):
         order = random.permutation(len(used))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]

@@ -25,11 +25,10 @@ from chronolex.llm.common import cut, documents, small_batches
 CAPACITY = 1024
 END = 2
 ISLAND = 4096
-ROUNDS = 3
 POPULATION = 4
 GENERATIONS = 4
-#: Free places up to which a bin belongs to the elite that is settled.
-SPARE = 0
+#: Free places up to which a bin belongs to the elite that is settled, by round; the round after these settles all.
+SPARES = (0, 2, 8)
 
 
 def vocabulary_path() -> str:
@@ -155,13 +154,14 @@ def evolve(sizes: list[int], capacity: int = CAPACITY, population: int = POPULAT
 PLACED = "sequence_id long, offset long, free int"
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, island: int = ISLAND, rounds: int = ROUNDS) -> DataFrame:
+def pack(rows: DataFrame, capacity: int = CAPACITY, island: int = ISLAND, spares: tuple[int, ...] = SPARES) -> DataFrame:
     """Adds sequence_id and offset to rows of pieces; rows has id, piece, start, length and ids_crc32.
 
     rows is cut first, so all rounds see the same pieces. Islands form by hash of the whole row and a row number
     of the cut table, so repeated rows spread; each holds about `island` pieces whatever the input.
     An empty table gives an empty result. Sequence ids are numbers without order.
     """
+    rounds = len(spares) + 1
     rows = cut(rows.withColumn("number", F.monotonically_increasing_id()))
     schema = rows.schema
     full = rows.where(F.col("length") >= capacity).withColumn("sequence_id", F.col("number")).withColumn("offset", F.lit(0).cast("long"))
@@ -181,7 +181,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, island: int = ISLAND, rounds
                 order.append(i)
                 sequence.append(name)
                 offset.append(at)
-                free.append(0 if last or f <= SPARE else f)
+                free.append(0 if last or f <= spares[round_] else f)
                 at += sizes[i]
         out = table.drop_columns(["island", "round"]).take(pa.array(order, pa.int64()))
         for name, values, kind in (("sequence_id", sequence, pa.int64()), ("offset", offset, pa.int64()), ("free", free, pa.int32())):
