@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import SPACE, documents
+from chronolex.llm.common import SPACE, cut, documents
 
 #: Ranges over which copies of one text are spread.
 SALTS = 16
@@ -42,6 +42,8 @@ def content_sort_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.row_number().over(in_order).alias("rn"),
         F.first("id").over(in_order).alias("head"),
     )
+    if not carry:  # rows without text: both uses below read these, so that texts are exchanged once
+        runs = cut(runs)
     heads = runs.groupBy("sha", "salt").agg(F.min("head").alias("head"), F.count(F.lit(1)).alias("n"))
     same = Window.partitionBy("sha")
     heads = heads.select(
