@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import documents, words_count
+from chronolex.llm.common import cut, documents, words_count
 
 #: Weights that sources take in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -71,6 +71,8 @@ def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     cols = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), digest.alias("digest")]
     base = df.select(*cols, *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []))
     base = base.withColumn("bucket", F.substring("digest", 1, DIGITS))
+    if not carry:  # sums and rows both read these, so that words are counted once
+        base = cut(base)
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sizes = sums.groupBy("source").agg(F.sum("bucket_size").cast("long").alias("source_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
