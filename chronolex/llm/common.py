@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark remove the exchange files of earlier rounds now.
+
+    It removes them when the driver's garbage collector finds their plans unused, which a driver with a large heap does
+    late; an iterative operator would fill the executors' disks meanwhile.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words_count(text: Column) -> Column:
     """Number of words in the sense of WORD; null or blank text has none."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import cut, documents, small_batches
+from chronolex.llm.common import cut, documents, small_batches, sweep
 from chronolex.llm.graph import components
 from chronolex.llm.shingles import sets
 
@@ -360,7 +360,10 @@ def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: i
 
     a = held.select(F.col("key").alias("a"), F.col("set").alias("x"))
     b = held.select(F.col("key").alias("b"), F.col("set").alias("y"))
-    return cut(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long, common long"))
+    out = cut(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long, common long"))
+    del pairs, keys, held, a, b
+    sweep(df.sparkSession)
+    return out
 
 
 def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -452,6 +455,7 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
     for r in range(ROUNDS + 1):
         counts = cut(region_rows(parts, share(met_twice(parts)), None, bare=True).groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
         hot = bitmap(counts.where(F.col("c") > REGION), "pivot", MOVED_BITS)
+        sweep(spark)
         if r == ROUNDS or not (hot & ~moved).any():
             break
         moved |= hot
