@@ -70,17 +70,19 @@ def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     cols = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), digest.alias("digest")]
     base = df.select(*cols, *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []))
-    base = base.withColumn("bucket", F.substring("digest", 1, DIGITS))
+    # one key for a source, null too, so that rows stay where the window put them when they meet their bucket
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+    base = base.withColumn("bucket", F.substring("digest", 1, DIGITS)).withColumn("key", key)
     if not carry:  # sums and rows both read these, so that words are counted once
         base = cut(base)
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sizes = sums.groupBy("source").agg(F.sum("bucket_size").cast("long").alias("source_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = sums.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).cast("long")).drop("bucket_size")
-    buckets = buckets.withColumnRenamed("source", "s").join(targets(sizes), F.col("s").eqNullSafe(F.col("source"))).drop("s").withColumnRenamed("bucket", "b").withColumnRenamed("source", "s")
-    within = Window.partitionBy("source", "bucket").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumnRenamed("source", "s").join(targets(sizes), F.col("s").eqNullSafe(F.col("source"))).drop("s").withColumn("key", key).drop("source")
+    within = Window.partitionBy("key", "bucket").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = base.withColumn("start_in", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = rows.join(buckets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    rows = rows.join(buckets, ["key", "bucket"])
     start = (F.col("bucket_start") + F.col("start_in")).cast("double")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("whole", F.floor(share)).withColumn("extra_until", (share - F.floor(share)) * F.col("source_size"))
