@@ -40,7 +40,7 @@ REGION = 64
 #: Times that regions are dissolved after an exact count; what is then still large is joined as a cloud.
 ROUNDS = 1
 #: Shingles of a chunk of documents that are counted together, and sets of it that must share one for it to count as frequent.
-CHUNK_SHINGLES = 1 << 21
+CHUNK_SHINGLES = 1 << 20
 CHUNK_SHARED = 3
 CELLS = 64
 BLOCK = 1024

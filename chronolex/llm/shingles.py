@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at a time; a chunk ends at white space, so memory does not depend on a text's length.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
