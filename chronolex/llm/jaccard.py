@@ -342,8 +342,7 @@ def near(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(a, b, common) of the pairs whose sets have den * common >= num * union."""
-    pairs = cut(near(pairs, nodes, num, den))
+    """(a, b, common) of the pairs whose sets have den * common >= num * union; pairs is cut and passed the test of all cells."""
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     held = cut(with_sets(df, keys.join(nodes.select("key", "rep", "n"), "key"), words))
 
@@ -372,7 +371,7 @@ def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, w
     heads = rows.groupBy("pivot").agg(F.min("key").alias("head"))
     members = cut(rows.join(heads, "pivot").select("head", "key").distinct())
     star = members.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    star = verify(star, nodes, df, words, num, den)
+    star = verify(cut(near(star, nodes, num, den)), nodes, df, words, num, den)
     links = cut(links.unionByName(star.select("a", "b")))
     for limit in PASSES:
         found = cut(across(members, star, components(links), nodes, num, den, limit))
@@ -383,7 +382,7 @@ def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, w
 
 
 def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFrame, num: int, den: int, limit: int | None) -> DataFrame:
-    """(a, b) pairs of a cloud's members in different components that windows, sizes and cells do not rule out.
+    """(a, b) pairs of a cloud's members in different components that windows, sizes and all cells do not rule out.
 
     Members outside the main component of their cloud are queries; each gives its `limit` nearest partners by cells, or all.
     """
@@ -462,7 +461,8 @@ def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0)
         sent = share(moved.copy())
         parts = unmoved(nodes, first, sent).select("key", "n", "window", "cells").unionByName(moved_windows(df, first, sent, words, num, den, seed).select("key", "n", "window", "cells"))
     shared, large = share(bitmap(counts, "pivot", SHARED_BITS)), share(hot)
-    links = verify(small_regions(region_rows(parts, shared, large), num, den), nodes, df, words, num, den).select("a", "b")
+    met = cut(near(small_regions(region_rows(parts, shared, large), num, den), nodes, num, den))
+    links = verify(met, nodes, df, words, num, den).select("a", "b")
     if hot.any():
         links = clouds(region_rows(parts, large, None), nodes, links, df, words, num, den)
     return base.select("id", "n", "key"), nodes.select("key", "rep", "n"), links
