@@ -47,6 +47,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """A table of a few numbers a row in one partition for each core, so that the next exchange writes few files."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def sweep(spark: SparkSession) -> None:
     """Lets Spark remove the exchange files of earlier rounds now.
 

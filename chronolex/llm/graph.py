@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import cut, sweep
+from chronolex.llm.common import cut, few, sweep
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,8 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     before each exchange, so a node with very many links is no hot group, and no list of neighbours is collected.
     """
     spark = links.sparkSession
-    tasks = spark.sparkContext.defaultParallelism
-    now = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(tasks))
+    now = cut(few(few(links).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()))
     state = None
     while True:
         for star in ("large", "small"):
@@ -27,8 +26,8 @@ def components(links: DataFrame) -> DataFrame:
             hooked = side.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             if star == "small":  # the node itself hooks to its smallest neighbour too
                 hooked = hooked.unionByName(least.select("a", F.col("m").alias("b")))
-            now = hooked.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        now = cut(now.distinct().coalesce(tasks))  # two numbers a link: a task for each core holds them
+            now = few(hooked.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        now = cut(few(now.distinct()))
         del both, least, side, hooked
         sweep(spark)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import cut, documents, small_batches, sweep
+from chronolex.llm.common import cut, documents, few, small_batches, sweep
 from chronolex.llm.graph import components
 from chronolex.llm.shingles import sets
 
@@ -343,6 +343,7 @@ def near(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
 
 def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(a, b, common) of the pairs whose sets have den * common >= num * union; pairs is cut and passed the test of all cells."""
+    pairs = few(pairs)
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     held = cut(with_sets(df, keys.join(nodes.select("key", "rep", "n"), "key"), words))
 
@@ -367,17 +368,17 @@ def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: i
 
 def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links within regions of any size: by document pivots, triangle-inequality windows, and blocks of what is left."""
-    rows = cut(rows.select("pivot", "key"))
+    rows = few(cut(rows.select("pivot", "key")))
     heads = rows.groupBy("pivot").agg(F.min("key").alias("head"))
-    members = cut(rows.join(heads, "pivot").select("head", "key").distinct())
+    members = few(cut(rows.join(heads, "pivot").select("head", "key").distinct()))
     star = members.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    star = verify(cut(near(star, nodes, num, den)), nodes, df, words, num, den)
-    links = cut(links.unionByName(star.select("a", "b")))
+    star = few(verify(cut(near(star, nodes, num, den)), nodes, df, words, num, den))
+    links = cut(few(links.unionByName(star.select("a", "b"))))
     for limit in PASSES:
         found = cut(across(members, star, components(links), nodes, num, den, limit))
         if found.isEmpty():
             break
-        links = cut(links.unionByName(verify(found, nodes, df, words, num, den).select("a", "b")))
+        links = cut(few(links.unionByName(verify(found, nodes, df, words, num, den).select("a", "b"))))
     return links
 
 
@@ -388,7 +389,7 @@ def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFra
     """
     # members of one component need no more tests among themselves
     members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    members = members.join(star.select(F.col("a").alias("head"), F.col("b").alias("key"), "common"), ["head", "key"], "left")
+    members = few(cut(members.join(star.select(F.col("a").alias("head"), F.col("b").alias("key"), "common"), ["head", "key"], "left")))
     sizes = members.groupBy("head", "root").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("head").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     members = members.join(main, "head")
