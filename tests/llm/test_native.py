@@ -17,25 +17,36 @@ def norm(t):
     return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
 
 
-def test_dedup_against_brute_force(spark):
+@pytest.mark.parametrize("parts", [1, 10, dedup.PARTS])  # no text, one text and all repeated texts are frequent
+def test_dedup_against_brute_force(spark, parts):
     texts = odd_texts() * 3 + ["hot copy"] * 300
     df = docs(spark, texts).withColumns({"norm": F.lit(1), "sha": F.lit(2), "id": F.lit(3), "row": F.lit(4)})
     groups = defaultdict(list)
     for i, t in enumerate(texts):
         groups[norm(t)].append(i)
-    got = {r["doc_id"]: r for r in dedup.content_sort_dedup(df).collect()}
+    got = {r["doc_id"]: r for r in dedup.content_sort_dedup(df, parts=parts).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
         g = groups[norm(t)]
         assert (got[i]["keep_id"], got[i]["group_size"], got[i]["kept"]) == (g[0], len(g), i == g[0])
         assert got[i]["text_sha256"] == hashlib.sha256(norm(t).encode()).hexdigest()
-    kept = dedup.stage(spark, df, "")
+    kept = dedup.content_sort_kept(df, parts=parts)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(g[0] for g in groups.values())
 
 
-def test_dedup_repeated_rows_null_ids_empty_table(spark):
+def test_only_few_texts_are_frequent(spark):
+    texts = ["hot copy"] * 300 + [f"pair {i // 2}" for i in range(400)]
+    keyed = docs(spark, texts).select(F.xxhash64("text").alias("key"), F.lit(64).cast("long").alias("bytes"))
+    (row,) = dedup.frequent(keyed, 100).collect()
+    assert row["salts"] == 43 and len(dedup.frequent(keyed, 4096).collect()) == 201
+
+
+@pytest.mark.parametrize("parts", [1, dedup.PARTS])
+def test_dedup_repeated_rows_null_ids_empty_table(spark, parts):
     df = docs(spark, ["a", "a", "a", "b"], ids=[5, 5, None, None])
-    rows = dedup.content_sort_dedup(df).collect()
+    rows = dedup.content_sort_dedup(df, parts=parts).collect()
+    assert sorted(r["doc_id"] or 0 for r in dedup.content_sort_kept(df, parts=parts).collect()) == [0, 5]
+    assert dedup.content_sort_kept(spark.createDataFrame([], SCHEMA)).count() == 0
     assert sum(r["kept"] for r in rows) == 2 and all(r["keep_id"] == 5 for r in rows if r["text_sha256"] == hashlib.sha256(b"a").hexdigest())
     assert dedup.content_sort_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
