@@ -21,13 +21,16 @@ PARTS = 4096
 ROW_BYTES = 64
 #: Characters of the normalised text that lead the sort key.
 LEAD = 24
-#: Runs of ASCII white space other than one space, which need no replacement.
-RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
+#: ASCII white space other than the space.
+SPACES = "\t\n\x0b\x0c\r"
 
 
 def normalised(text: Column) -> Column:
-    """Each run of ASCII white space as one space; null as empty."""
-    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), RUNS, " ")
+    """Each run of ASCII white space as one space; null as empty. Only texts with adjacent spaces need a pattern."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    for c in SPACES:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
 
 
 def frequent(keyed: DataFrame, parts: int) -> DataFrame:
