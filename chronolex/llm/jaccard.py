@@ -44,6 +44,8 @@ CHUNK_SHINGLES = 1 << 20
 CHUNK_SHARED = 3
 CELLS = 64
 BLOCK = 1024
+#: Parts that the members of a cloud are dealt into where they meet what is known of the cloud.
+SALTS = 16
 #: Nearest members of other components that a query of a cloud is tested against in each pass; the last pass tests all that are left.
 PASSES = (4, 64, None)
 #: Sizes of the bitmaps that are broadcast, in bits, whatever the input.
@@ -392,9 +394,11 @@ def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFra
     members = few(cut(members.join(star.select(F.col("a").alias("head"), F.col("b").alias("key"), "common"), ["head", "key"], "left")))
     sizes = members.groupBy("head", "root").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("head").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    members = members.join(main, "head")
     side = nodes.select("key", "n", "cells")
-    members = members.join(side, "key").join(side.select(F.col("key").alias("head"), F.col("n").alias("head_n"), F.col("cells").alias("head_cells")), "head")
+    main = main.join(side.select(F.col("key").alias("head"), F.col("n").alias("head_n"), F.col("cells").alias("head_cells")), "head")
+    # one row a cloud and salt, so that a large cloud's members do not meet it in one task
+    main = main.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    members = members.join(side, "key").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(main, ["head", "salt"])
     part = lambda name: F.pmod(F.xxhash64("key", F.lit(name)), F.ceil(F.col("all") / BLOCK)).cast("int")
     # queries: members outside the main component; they meet every member, in blocks of either
     span = F.sequence(F.lit(0), (F.ceil(F.col("all") / BLOCK) - 1).cast("int"))
@@ -428,6 +432,7 @@ def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFra
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     met = met.select("head", "q", "m", "key", "root", "n", "cells", "common", "head_n", "head_cells", "query")
+    met = met.repartition("head", "q", "m")  # without it, a cloud's blocks would stay where its members met
     return met.groupBy("head", "q", "m").applyInArrow(block, "a long, b long").distinct()
 
 
