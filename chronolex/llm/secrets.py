@@ -2,15 +2,16 @@
 
 Strong patterns are reported wherever they match. Weak candidates, which alone say little, are access identifiers
 (user names, client and key identifiers), secrets (long mixed tokens, private values of settings) and endpoints (addresses
-with a scheme, hosts with a port, IPv4 addresses). Within a scope, a block of text between blank lines, a sweep
-over the sorted intervals joins each weak secret with the nearest identifier and endpoint whose intervals lie within REACH
-characters, and only candidates with a complementary part are reported.
+with a scheme, hosts with a port, IPv4 addresses). Within a scope, a block of text between blank lines, secrets are joined
+with identifiers and endpoints whose intervals lie within REACH characters, before or after; only candidates with a
+complementary part are reported. Two sweeps over the sorted intervals find each part's nearest complement on either side.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,8 +60,9 @@ LETTERS_HEX = re.compile(r"[a-f]{24,}")
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak candidates with a complementary part in their scope: kinds key_id, weak_secret and endpoint.
 
-    A weak secret is reported with its nearest identifier and endpoint within REACH, and those with it. Strong spans count as
-    parts too: an assignment or hexadecimal run is a secret, an access key an identifier. Linear in the parts of a scope.
+    Secrets complement identifiers and endpoints: a part is reported if its nearest complement on either side lies within
+    REACH. Strong spans count as parts too: an assignment or hexadecimal run is a secret, an access key an identifier. Linear
+    in the parts once they are sorted.
     """
     ids = [("key_id", m.start(1), m.end(1)) for m in WEAK_ID.finditer(text)] if ":" in text or "=" in text else []
     ids += [s for s in base if s[0] == "access"]
@@ -79,17 +81,23 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     if not weak and not strong:
         return []
     edges = [m.end() for m in BLANK.finditer(text)]
+    sides = [*((True, s) for s in [*weak, *strong]), *((False, s) for s in [*ids, *ends])]
+    parts = [(bisect_right(edges, s[1]), side, s) for side, s in sorted(sides, key=lambda p: (p[1][1], p[1][2]))]
     found: set[Span] = set()
-    last: dict[str, tuple[Span, int] | None] = {"id": None, "end": None, "secret": None}
-    parts = sorted([*(("id", s) for s in ids), *(("end", s) for s in ends), *(("secret", s) for s in [*weak, *strong])], key=lambda p: (p[1][1], p[1][2]))
-    scope = 0
-    for role, span in parts:  # each part meets the nearest earlier part of a complementary role
-        while scope < len(edges) and edges[scope] <= span[1]:
-            scope += 1
-        for other in ("id", "end") if role == "secret" else ("secret",):
-            if (seen := last[other]) and seen[1] == scope and span[1] - seen[0][2] <= REACH:
-                found |= {span, seen[0]}
-        last[role] = (span, scope)
+    at, reached = -1, {}
+    for scope, side, span in parts:  # the complement before that ends last
+        if scope != at:
+            at, reached = scope, {}
+        if (not side) in reached and span[1] - reached[not side] <= REACH:
+            found.add(span)
+        reached[side] = max(span[2], reached.get(side, 0))
+    at, reached = -1, {}
+    for scope, side, span in reversed(parts):  # the complement after that starts first
+        if scope != at:
+            at, reached = scope, {}
+        if (not side) in reached and reached[not side] - span[2] <= REACH:
+            found.add(span)
+        reached[side] = span[1]
     return sorted((s for s in found if s[0] not in KINDS), key=lambda s: (s[1], s[0]))
 
 
