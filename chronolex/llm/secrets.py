@@ -30,8 +30,9 @@ WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: Characters between a weak secret and its complementary part at most.
 REACH = 400
-WEAK_ID = re.compile(r"""\b(?i:user(?:name)?|login|client_?id|account_?id|access_?key_?id|key_?id)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII)
+WEAK_ID = re.compile(r"""(?<![A-Za-z0-9])(?i:user(?:name)?|login|client_?id|account_?id|access_?key_?id|key_?id)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII)
 WEAK_SECRET = re.compile(r"""(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}""", re.ASCII)
+PRIVATE = re.compile(r"""(?<![A-Za-z0-9])(?i:pwd|pass(?:phrase)?|private_?key|credentials?)["']?[ ]*[:=][ ]*["']?([^\s"'<>(){}\[\],;]{6,})""", re.ASCII)
 ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+]*://[A-Za-z0-9._~:/@-]{4,}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?\b|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:\d{2,5}\b""", re.ASCII)
 BLANK = re.compile(r"\n[ \t\r]*\n")
 
@@ -57,6 +58,18 @@ DIGITS = re.compile(r"[0-9]")
 LETTERS_HEX = re.compile(r"[a-f]{24,}")
 
 
+def apart(spans: list[tuple[int, int]], others: list[tuple[int, int]], at_start: bool = False) -> list[tuple[int, int]]:
+    """Spans, sorted, that are not part of another candidate; at_start: that do not begin within one."""
+    out, k = [], 0
+    others = sorted(others)
+    for a, b in spans:
+        while k < len(others) and others[k][1] <= a:
+            k += 1
+        if k == len(others) or others[k][0] >= (a + 1 if at_start else b):
+            out.append((a, b))
+    return out
+
+
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak candidates with a complementary part in their scope: kinds key_id, weak_secret and endpoint.
 
@@ -69,15 +82,12 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     ends = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)] if DIGITS.search(text) or "://" in text else []
     if not ids and not ends:
         return []
-    taken = sorted((s[1], s[2]) for s in base)
+    taken = [(s[1], s[2]) for s in base]
     strong = [s for s in base if s[0] != "access"]
-    others = sorted([*taken, *((a, b) for _, a, b in [*ids, *ends])])
-    weak, k = [], 0
-    for m in WEAK_SECRET.finditer(text):
-        while k < len(others) and others[k][1] <= m.start():
-            k += 1
-        if k == len(others) or others[k][0] >= m.end():  # not part of another candidate
-            weak.append(("weak_secret", m.start(), m.end()))
+    others = [*taken, *((a, b) for _, a, b in [*ids, *ends])]
+    private = apart([m.span(1) for m in PRIVATE.finditer(text)], others, at_start=True) if ":" in text or "=" in text else []
+    runs = apart([m.span() for m in WEAK_SECRET.finditer(text)], [*others, *private])
+    weak = [("weak_secret", a, b) for a, b in [*private, *runs]]
     if not weak and not strong:
         return []
     edges = [m.end() for m in BLANK.finditer(text)]
