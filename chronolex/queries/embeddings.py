@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronolex.functions import tokens
 from chronolex.operators import embeddings as emb
 from chronolex.operators import ngrams as ops
 from chronolex.operators import regression as reg
@@ -201,7 +202,11 @@ def metric_by_params(spark, sf_dir) -> DataFrame:
 
 @query()
 def word2vec_train(spark, sf_dir) -> DataFrame:
-    return training.train(ops.sentences(ngram_year(spark, sf_dir), F.lit(1)), settings_grid(spark).where("weight_by = 'none'"))
+    rows = ngram_year(spark, sf_dir)
+    grid = settings_grid(spark).drop("year").distinct().crossJoin(rows.select("year").distinct())  # every year of the table
+    weights = {"none": F.lit(1), "freq": tokens.log_weight(F.col("match_count"))}
+    models = [training.train(ops.sentences(rows, w), grid.where(F.col("weight_by") == by)) for by, w in weights.items()]
+    return models[0].unionByName(models[1])
 
 
 def _regression_rows(spark, sf_dir) -> DataFrame:

@@ -102,3 +102,17 @@ def test_training_finds_planted_neighbours(spark):
         assert own > other
     name = grid.select(training.model_name().alias("m")).select("m", training.parse_name(F.col("m")).alias("p")).collect()
     assert all(r["p"]["vector_size"] == 8 and r["p"]["year"] == 2000 for r in name)
+
+
+def test_training_query_takes_every_year_and_match_counts(spark, tmp_path):
+    from chronolex.queries.embeddings import word2vec_train
+
+    parts = [(0, "red blue"), (1, "blue green"), (2, "green red")]
+    lines = [(p, n, f"{year}-03-01") for year in (1995, 1998, 2003) for p in range(3) for n in range(150 if p == 0 else 3)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(lines, "l_partkey long, l_orderkey long, day string").withColumn("l_shipdate", F.to_date("day")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = word2vec_train(spark, str(tmp_path)).collect()
+    assert {(r["year"], r["weight_by"], r["window"], r["approach"]) for r in rows} == {(y, b, w, a) for y in (1995, 1998, 2003) for b in ("none", "freq") for w in (2, 4) for a in ("skip-gram", "CBOW")}
+    assert len(rows) == 3 * 8 * 3
+    vectors = {(r["weight_by"], r["word"]): r["vector"] for r in rows if (r["year"], r["window"], r["approach"]) == (1998, 2, "CBOW")}
+    assert any(vectors["none", w] != vectors["freq", w] for w in ("red", "blue", "green"))  # 150 matches weigh 2, 3 weigh 1
