@@ -118,7 +118,7 @@ def gaussian_smooth(spark, sf_dir) -> DataFrame:
 
 @query()
 def savgol_derivative(spark, sf_dir) -> DataFrame:
-    return ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir), 1, 30))
+    return ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir, gaps=False), 1, 31))
 
 
 @query(f"WITH {EY}, c AS (SELECT a.year, {sql_cos('a.v', 'b.v')} AS value FROM ey a JOIN ey b ON a.year = b.year WHERE a.word = 'w3' AND b.word = 'w4'), r AS (SELECT *, (row_number() OVER (ORDER BY year) - 1) // 3 AS chunk FROM c) SELECT CAST(chunk AS BIGINT) AS chunk, round(avg(year), 6) AS year, round(avg(value), 6) AS value FROM r GROUP BY 1")

@@ -116,3 +116,18 @@ def test_training_query_takes_every_year_and_match_counts(spark, tmp_path):
     assert len(rows) == 3 * 8 * 3
     vectors = {(r["weight_by"], r["word"]): r["vector"] for r in rows if (r["year"], r["window"], r["approach"]) == (1998, 2, "CBOW")}
     assert any(vectors["none", w] != vectors["freq", w] for w in ("red", "blue", "green"))  # 150 matches weigh 2, 3 weigh 1
+
+
+def test_derivative_query_takes_every_day(spark, sf_dir):
+    import pandas as pd
+
+    from chronolex.queries.embeddings import savgol_derivative
+
+    events = pd.read_parquet(f"{sf_dir}/events.parquet")
+    events = events[events["event_type"] == "purchase"]
+    days = events.groupby(events["ts"].dt.day)["value"].mean().round(6)
+    y = np.interp(range(1, 32), days.index, days.to_numpy())
+    got = {r["year"]: r["derivative"] for r in savgol_derivative(spark, sf_dir).collect()}
+    assert sorted(got) == list(range(1, 32))
+    for i in range(5, 26):
+        assert got[i + 1] == pytest.approx(ser.savgol_weights(11, 3, 5, 1.0) @ y[i - 5 : i + 6], abs=1e-5)
