@@ -53,6 +53,14 @@ def test_stop_words_see_lemmas(spark):
     assert tables(spark, ["was_NOUN x"], rules, lemmas=[("was", "VERB", "be"), ("was", None, "were")]) == {"was_NOUN x": "were x"}
 
 
+def test_look_up_without_broadcast(spark, monkeypatch):
+    side = t.look_up_side
+    monkeypatch.setattr(t, "look_up_side", lambda table: side(table, 0))
+    rules = t.TokenRules(short=False, stop_words=("was",))
+    assert tables(spark, ["was_NOUN x"], rules, lemmas=[("was", "VERB", "be"), ("was", None, "were")]) == {"was_NOUN x": "were x"}
+    assert tables(spark, ["1984_NUM cat_NOUN"], RULES, ["1984"]) == {"1984_NUM cat_NOUN": "1984 <UNK>"}
+
+
 def test_ngram_types(spark):
     cases = ["cat_VERB", "__NOUN", "_NOUN", "a_NOUN b_VERB", "_NOUN_", "cat", "a b", "cat_VERB dog", "cat_VERB  dog_NOUN"]
     assert one(spark, cases, lambda c: t.ngram_type(c, "tagged")) == [True] * 4 + [False] * 5
