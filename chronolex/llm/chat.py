@@ -109,7 +109,12 @@ class Model:
 
 
 def train(conversations: list[list[tuple[str, str]]], smooth: float = 0.5) -> Model:
-    """Counts (role, text) turns; without turns every role is as likely. Emissions of markers keep a prior, since turns mostly lack them."""
+    """Counts (role, text) turns; without turns every role is as likely."""
+    return counted([[(role, observe(*marker(text), i == 0)) for i, (role, text) in enumerate(turns)] for turns in conversations], smooth)
+
+
+def counted(conversations: list[list[tuple[str, tuple[int, ...]]]], smooth: float = 0.5) -> Model:
+    """Counts (role, observations) turns. Emissions of markers keep a prior, since turns mostly lack them."""
     n = len(ROLES)
     start, step = np.full(n, smooth), np.full((n, n), smooth)
     emit = [np.full((n, k), smooth) for k in FEATURES]
@@ -118,7 +123,7 @@ def train(conversations: list[list[tuple[str, str]]], smooth: float = 0.5) -> Mo
         emit[0][r, 1 + r] = 2.0
     for turns in conversations:
         before = None
-        for i, (role, text) in enumerate(turns):
+        for i, (role, values) in enumerate(turns):
             if role not in ROLES:
                 before = None
                 continue
@@ -127,8 +132,7 @@ def train(conversations: list[list[tuple[str, str]]], smooth: float = 0.5) -> Mo
                 start[r] += 1
             elif before is not None:
                 step[before, r] += 1
-            mark, rest = marker(text)
-            for k, v in enumerate(observe(mark, rest, i == 0)):
+            for k, v in enumerate(values):
                 emit[k][r, v] += 1
             before = r
     log = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
@@ -136,15 +140,24 @@ def train(conversations: list[list[tuple[str, str]]], smooth: float = 0.5) -> Mo
 
 
 def fit(turns: DataFrame, rows: int = TRAIN_CONVERSATIONS) -> Model:
-    """Fits on about `rows` conversations outside the held-out fold, chosen by hash."""
+    """Fits on about `rows` conversations outside the held-out fold, chosen by hash; tasks observe whole texts, the driver sees observations."""
+    small_batches(turns.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen = [list(observe(*marker(t), False)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("turn"), b.column("role"), pa.array(seen, pa.list_(pa.int32()))], ["conv_id", "turn", "role", "seen"])
+
     usable = turns.where(F.col("conv_id").isNotNull() & F.col("role").isin(*ROLES) & ~held_out(F.col("conv_id")) & (F.col("turn") < TRAIN_TURNS))
     n = usable.select(F.approx_count_distinct("conv_id")).first()[0]
     place = F.pmod(F.xxhash64("conv_id", F.lit("chat sample")), F.lit(1 << 30)) / float(1 << 30)
-    picked = usable.where(place < min(1.0, rows / max(n, 1))).select("conv_id", "turn", "role", F.substring(F.coalesce("text", F.lit("")), 1, 4096).alias("text"))
+    picked = usable.where(place < min(1.0, rows / max(n, 1))).select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    observed = picked.mapInArrow(run, f"conv_id {turns.schema['conv_id'].dataType.simpleString()}, turn long, role string, seen array<int>")
     by: dict = {}
-    for r in picked.orderBy("conv_id", "turn", "role", "text").limit(2 * rows * TRAIN_TURNS).collect():
-        by.setdefault(r[0], []).append((r[2], r[3]))
-    return train(list(by.values()))
+    for r in observed.orderBy("conv_id", "turn", "role", "seen").limit(2 * rows * TRAIN_TURNS).collect():
+        of = by.setdefault(r[0], [])
+        of.append((r[2], (*r[3][:4], int(not of), r[3][5])))
+    return counted(list(by.values()))
 
 
 def render(role: str, text: str) -> str:

@@ -300,6 +300,19 @@ def test_chat_held_out_and_segments(spark):
     assert all(tuple(parts[k]) == tuple(whole[k]) for k in whole)
 
 
+def test_chat_learns_from_whole_texts(spark):
+    rows = [(c, k, r, t) for c in range(40) for k, (r, t) in enumerate([("user", "go on " * 2000 + "?"), ("assistant", "so it is " * 3000)])]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    model = chat.fit(turns)
+    by = {}
+    for c, _, r, t in rows:
+        if zlib.crc32(str(c).encode()) % 4 != 2:
+            by.setdefault(c, []).append((r, t))
+    want = chat.train(list(by.values()))
+    assert all(np.allclose(a, b) for a, b in zip([model.start, model.step, *model.emit], [want.start, want.step, *want.emit]))
+    assert model.emit[3][1, 1] > model.emit[3][1, 0]  # the question mark stands beyond 4,096 characters
+
+
 def test_chat_edges(spark):
     schema = "conv_id long, turn long, role string, text string"
     model = chat.train([])
