@@ -2,7 +2,8 @@
 
 Every source has a weight schedule over training time t in [0, 1]. The integral of its share gives the
 words it must deliver by t; a document copy whose words lie at the source's cumulative position u is due at the
-t where that cumulative demand reaches u. Documents are range-sorted by this position.
+t where that cumulative demand reaches u. Documents are range-sorted by this position: by that of the first copy in the
+query, which has one row a document, and by that of every copy in the pipeline's stage.
 
 Sums over a source run in two levels, so a source with a third of all rows is not one task: buckets of a
 hash order are summed first, then rows within a bucket.
@@ -98,6 +99,7 @@ def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col:
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum(documents(spark, sf_dir), words_count(F.col("text")))
+    mixed = mixed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
     return mixed.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken", "copies", "position")
 
 

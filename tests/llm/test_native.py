@@ -138,6 +138,12 @@ def test_mixing(spark):
     assert staged.columns == df.columns and staged.count() == sum(r["copies"] for r in rows)
 
 
+def test_mixing_query_is_sorted_by_position(spark, sf_dir):
+    rows = mixing.op6(spark, sf_dir).collect()
+    keys = [(r["position"] is not None, r["position"] or 0.0, r["doc_id"]) for r in rows]
+    assert keys == sorted(keys) and len({r["position"] for r in rows}) > 100
+
+
 def test_mixing_schedule_inverts(spark):
     df = spark.range(101).select((F.col("id") / 100).alias("u"))
     for place, s in ((0, 0.5), (1, -0.5)):
