@@ -119,7 +119,7 @@ class Stream:
     stream_type: int = -1
     packets: int = 0
     lost_sync: int = 0  #: 188-byte cells without the sync byte
-    bad_tables: int = 0  #: table sections whose checksum is wrong
+    bad_tables: int = 0  #: table sections whose checksum is wrong, before the first sound one
     discontinuities: int = 0  #: steps of the continuity counter that are neither 1 nor a repeated packet
     truncated: int = 0  #: elementary packets with fewer bytes than they state
     points: list[tuple[int, int, int, bool]] = field(default_factory=list)  #: (stamp, packet number, bytes, random access)
@@ -148,7 +148,7 @@ def demux(media: bytes) -> Stream:
     pid = (cells[:, 1].astype(np.int32) & 0x1F) << 8 | cells[:, 2]
     program = -1
     for want in ("program", "stream"):
-        for sec in _sections(cells[pid == (PAT_PID if want == "program" else program)][:16]):
+        for sec in _sections(cells[pid == (PAT_PID if want == "program" else program)]):
             if crc_mpeg(sec):
                 s.bad_tables += 1
             elif want == "program" and sec[0] == 0 and len(sec) >= 16:

@@ -107,6 +107,21 @@ def test_media_damage():
     assert media.demux(b"").payload == b"" and media.demux(b"x" * 100).pid == -1
 
 
+def test_media_finds_late_tables():
+    payload = bytes(range(256)) * 100
+    whole = media.mux(payload)
+    cells = [bytearray(whole[i : i + 188]) for i in range(0, len(whole), 188)]
+    tables = [c for c in cells[:2]]
+    assert [(c[1] & 0x1F) << 8 | c[2] for c in tables] != [media.DATA_PID] * 2
+    bad = []
+    for c in tables:
+        d = bytearray(c)
+        d[20] ^= 1
+        bad += [d] * 20
+    s = media.demux(b"".join([*bad, *cells]))
+    assert s.payload == payload and s.bad_tables == 40 and s.pid == media.DATA_PID
+
+
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("(?ai:", "(?i:"), re.ASCII)
 
 
