@@ -50,18 +50,24 @@ def pack_records(freqs: Column) -> Column:
 _RECORDS = T.ArrayType(T.StructType([T.StructField("year", T.IntegerType()), T.StructField("match_count", T.LongType()), T.StructField("volume_count", T.LongType())]))
 
 
+def _records(value: bytes | None, strict: bool) -> list | None:
+    if value is None or not strict and len(value) % RECORD_BYTES:
+        return None
+    if len(value) % RECORD_BYTES:
+        raise ValueError(f"{len(value)} bytes are no whole number of records")
+    return [{"year": int(y), "match_count": int(m), "volume_count": int(v)} for y, m, v in np.frombuffer(value, "<u8").reshape(-1, 3)]
+
+
 @F.pandas_udf(_RECORDS)
 def unpack_records(values: pd.Series) -> pd.Series:
     """Packed records as an array; a length that is no multiple of RECORD_BYTES is an error."""
+    return values.map(lambda v: _records(v, True))
 
-    def one(value: bytes | None) -> list | None:
-        if value is None:
-            return None
-        if len(value) % RECORD_BYTES:
-            raise ValueError(f"{len(value)} bytes are no whole number of records")
-        return [{"year": int(y), "match_count": int(m), "volume_count": int(v)} for y, m, v in np.frombuffer(value, "<u8").reshape(-1, 3)]
 
-    return values.map(one)
+@F.pandas_udf(_RECORDS)
+def unpack_whole_records(values: pd.Series) -> pd.Series:
+    """Packed records as an array; null, so that the n-gram can be skipped, where the length is no multiple of RECORD_BYTES."""
+    return values.map(lambda v: _records(v, False))
 
 
 def parse_key(text: Column) -> tuple[Column, Column]:
@@ -71,6 +77,83 @@ def parse_key(text: Column) -> tuple[Column, Column]:
     return F.when(year == "", F.lit(0)).otherwise(year.try_cast("int")), F.when(year == "", text).otherwise(F.regexp_extract(text, pattern, 2))
 
 
+def parsed_key(text: Column) -> Column:
+    """The key that a readable one stands for: `[year]` alone gives the four bytes that a year's keys begin with."""
+    year, ngram = parse_key(text)
+    return F.when(year.between(0, LAST_YEAR), F.concat(F.unhex(F.lpad(F.hex(year.cast("long")), 8, "0")), F.encode(ngram, "UTF-8")))
+
+
+def _text(data: Column) -> Column:
+    """UTF-8 as text; other bytes as their first 40 hexadecimal digits."""
+    more = F.when(F.octet_length(data) > 20, F.lit("...")).otherwise(F.lit(""))
+    return F.coalesce(F.try_validate_utf8(data.cast("string")), F.concat(F.lit("<binary: "), F.substring(F.lower(F.hex(data)), 1, 40), more, F.lit(">")))
+
+
+def format_key(key: Column, form: str = "auto") -> Column:
+    """A key as text. hex; utf-8; pivot: `[year] ngram`; auto: pivot if its head is a year from 1000 to 2100, else utf-8."""
+    rest = F.substring(key, 5, 1 << 30)
+    pivot = F.when(F.octet_length(key) >= 4, F.concat(F.lit("["), F.conv(F.hex(F.substring(key, 1, 4)), 16, 10), F.lit("] "), _text(rest)))
+    forms = {
+        "hex": F.lower(F.hex(key)), "utf-8": _text(key),
+        "pivot": pivot.otherwise(F.concat(F.lit("<invalid pivot key: "), F.octet_length(key).cast("string"), F.lit(" bytes>"))),
+        "auto": F.when((F.octet_length(key) >= 4) & F.conv(F.hex(F.substring(key, 1, 4)), 16, 10).cast("long").between(1000, 2100), pivot).otherwise(_text(key)),
+    }
+    if form not in forms:
+        raise ValueError(f"unknown form {form!r}")
+    return forms[form]
+
+
+def format_value(value: Column, form: str = "auto") -> Column:
+    """A value as text. hex; pivot: counts of 16 bytes; packed: the year records; summary: their totals; auto: pivot or summary by length."""
+    size, grouped = F.octet_length(value), lambda n: F.format_number(n, 0)
+    odd = lambda text, tail="": F.concat(F.lit(text), size.cast("string"), F.lit(f" bytes{tail}>"))
+    pivot = F.when(size == 16, F.concat(grouped(value_number(value, 0)), F.lit(" occurrences in "), grouped(value_number(value, 1)), F.lit(" documents")))
+    places = F.when(size > 0, F.sequence(F.lit(0), F.floor(size / RECORD_BYTES).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def number(i: Column, k: int) -> Column:
+        digits = F.hex(F.substring(value, i * RECORD_BYTES + 8 * k + 1, F.lit(8)))
+        return F.conv(F.concat(*[F.substring(digits, 15 - 2 * j, 2) for j in range(8)]), 16, 10).cast("long")
+
+    years = F.transform(places, lambda i: number(i, 0))
+    total = lambda k: F.aggregate(F.transform(places, lambda i: number(i, k)), F.lit(0).cast("long"), lambda a, x: a + x)
+    said = F.concat(
+        F.lit("Total: "), grouped(total(1)), F.lit(" occurrences in "), grouped(total(2)), F.lit(" volumes ("), F.array_min(years).cast("string"), F.lit("-"),
+        F.array_max(years).cast("string"), F.lit(", "), F.size(years).cast("string"), F.lit(" years)"),
+    )
+    summary = F.when(size % RECORD_BYTES != 0, odd("<non-24-byte-aligned: ")).when(size == 0, F.lit("No data")).otherwise(said)
+    record = lambda i: F.concat(F.lit("("), number(i, 0).cast("string"), F.lit(", "), number(i, 1).cast("string"), F.lit(", "), number(i, 2).cast("string"), F.lit(")"))
+    packed = F.when(size % RECORD_BYTES != 0, odd("<non-24-byte-aligned: ")).otherwise(F.array_join(F.transform(places, record), ", "))
+    forms = {
+        "hex": F.lower(F.hex(value)), "utf-8": _text(value), "summary": summary, "packed": packed, "pivot": pivot.otherwise(odd("<invalid pivot format: ", ", expected 16")),
+        "auto": pivot.when(size % RECORD_BYTES == 0, summary).otherwise(odd("<unknown format: ")),
+    }
+    if form not in forms:
+        raise ValueError(f"unknown form {form!r}")
+    return forms[form]
+
+
+def format_rate(count: Column, seconds: Column, unit: str = "items") -> Column:
+    """A rate with as many digits as tell something: none from 1000 on, one from 10 on, else two."""
+    rate = count / seconds
+    text = F.when(rate >= 1000, F.format_number(rate, 0)).when(rate >= 10, F.format_string("%.1f", F.bround(rate, 1))).otherwise(F.format_string("%.2f", F.bround(rate, 2)))
+    return F.concat(F.when(seconds > 0, text).otherwise(F.lit("0")), F.lit(f" {unit}/sec"))
+
+
+def format_percentage(part: Column, whole: Column) -> Column:
+    return F.when(whole == 0, F.lit("0.0%")).otherwise(F.format_string("%.1f%%", F.bround(part / whole * 100, 1)))
+
+
+def format_elapsed(seconds: Column) -> Column:
+    """Whole seconds as h:mm:ss."""
+    s = seconds.cast("long")
+    return F.format_string("%d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+
+
+def shorten_path(path: Column, width: int) -> Column:
+    """A path of at most `width` characters, its end behind three dots where it is longer."""
+    return F.when(F.length(path) <= width, path).when(F.lit(width < 4), F.lit("...")).otherwise(F.concat(F.lit("..."), F.right(path, F.lit(width - 3))))
+
+
 def format_bytes(size: Column) -> Column:
     """Bytes in steps of 1024 with two digits."""
     out = F.format_string("%d B", size.cast("long"))

@@ -7,18 +7,28 @@ tokens all failed is dropped. Lengths are bytes and lower-casing is ASCII by def
 
 from __future__ import annotations
 
+import re
 import string
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronolex.session import settled
+
 # The part-of-speech tags of tagged n-grams, and those whose universal name differs.
 POS_TAGS = ("NOUN", "PROPN", "VERB", "ADJ", "ADV", "PRON", "DET", "ADP", "NUM", "CONJ", "X", ".")
 UNIVERSAL = {"CONJ": "CCONJ", ".": "PUNCT"}
 UNK = "<UNK>"
 TAG = "(NOUN|PROPN|VERB|ADJ|ADV|PRON|DET|ADP|NUM|CONJ|X|[.])"
 
+# Languages that lemmas are known for, with the models they commonly come from.
+LEMMA_MODELS = {
+    "en": "en_core_web_sm", "de": "de_core_news_sm", "es": "es_core_news_sm", "fr": "fr_core_news_sm",
+    "it": "it_core_news_sm", "ru": "ru_core_news_sm", "zh": "zh_core_web_sm", "he": "he_core_news_sm",
+}
+
 #: Rows up to which a look-up table is broadcast; larger ones are joined by exchange.
 BROADCAST_ROWS = 500_000
 
@@ -33,6 +43,12 @@ class TokenRules:
     stop: bool = True
     stop_words: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        for f in fields(self):
+            value, kind = getattr(self, f.name), {"min_bytes": int, "stop_words": tuple}.get(f.name, bool)
+            if type(value) is not kind or (kind is tuple and not all(isinstance(w, str) for w in value)):
+                raise TypeError(f"{f.name} must be {kind.__name__}, not {value!r}")
+
 
 def split_tokens(ngram: Column) -> Column:
     """Tokens between ASCII spaces; runs of spaces count as one."""
@@ -88,12 +104,32 @@ def accepted(token: Column, rules: TokenRules) -> Column:
     return ok
 
 
+def _shorter(budget: int) -> str:
+    """Pattern of a run of characters with at most `budget` bytes of UTF-8, one at least."""
+    classes = (r"[\x00-\x7F]", r"[\x80-\x{7FF}]", r"[\x{800}-\x{FFFF}]", r"[\x{10000}-\x{10FFFF}]")
+    return "(?:" + "|".join(c + (f"{_shorter(budget - n)}?" if budget > n else "") for n, c in enumerate(classes, 1) if n <= budget) + ")"
+
+
+def accepted_pattern(rules: TokenRules) -> str:
+    """Pattern of an accepted token, up to the space or the end after it."""
+    end = r"(?= |\z)"
+    out = ""
+    if rules.stop and rules.stop_words:
+        out += "(?!(?:" + "|".join(re.escape(w) for w in rules.stop_words) + f"){end})"
+    if rules.short and rules.min_bytes > 1:
+        out += f"(?!{_shorter(rules.min_bytes - 1)}{end})"
+    return out + (r"\p{L}++" if rules.alpha else "[^ ]++") + end
+
+
 def normalise(ngram: Column, rules: TokenRules) -> Column:
-    """The normalised n-gram, null if it is dropped; for rules without look-up tables, so no exchange is needed."""
-    tokens = F.transform(split_tokens(ngram), lambda t: lowered(bare(t), rules))
-    kept = F.transform(tokens, lambda t: F.struct(accepted(t, rules).alias("ok"), t.alias("t")))
-    text = F.concat_ws(" ", F.transform(kept, lambda x: F.when(x["ok"], x["t"]).otherwise(F.lit(UNK))))
-    return F.when(F.exists(kept, lambda x: x["ok"]), text)
+    """The normalised n-gram, null if it is dropped; for rules without look-up tables, so no exchange is needed.
+
+    The rules run as patterns over the whole n-gram, so every step is compiled code, and the text is taken apart nowhere.
+    """
+    one = F.btrim(F.when(ngram.contains("  "), F.regexp_replace(ngram, " +", " ")).otherwise(ngram), F.lit(" "))
+    low = lowered(F.regexp_replace(one, rf"(?<=[^ ])_{TAG}(?= |\z)", ""), rules)
+    token = accepted_pattern(rules)
+    return F.when((low != "") & low.rlike(f"(?:^| ){token}"), F.regexp_replace(low, f"(?<![^ ])(?!{token})[^ ]+", UNK))
 
 
 def look_up_side(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -101,27 +137,70 @@ def look_up_side(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
 
 
-def normalise_with_tables(ngrams: DataFrame, rules: TokenRules, whitelist: DataFrame | None = None, lemmas: DataFrame | None = None, column: str = "ngram") -> DataFrame:
-    """(ngram, normalised) for the distinct n-grams that are kept, with a whitelist (token) and lemmas (token, pos or null, lemma).
+#: Tokens of an n-gram that are looked up one place after another where the map of tokens is broadcast.
+PLACES = 5
 
-    Tokens are joined with the tables and the n-grams put together again, once per distinct n-gram. An empty whitelist keeps nothing.
-    """
-    raw = ngrams.select(F.col(column).alias("ngram")).distinct()
-    tokens = raw.select("ngram", F.posexplode(split_tokens(F.col("ngram"))).alias("at", "raw"))
-    tokens = tokens.select("ngram", "at", lowered(bare(F.col("raw")), rules).alias("token"), universal_pos(F.col("raw")).alias("pos"))
+
+def lemma_model(language: str) -> str:
+    """The model that a language's lemma table commonly comes from; other languages are an error."""
+    if language not in LEMMA_MODELS:
+        raise ValueError(f"no lemmas for {language!r}; known are {', '.join(LEMMA_MODELS)}")
+    return LEMMA_MODELS[language]
+
+
+def plain_english(token: Column, pos: Column) -> Column:
+    """Rules for lemmas of English words that no table has: plurals of nouns, and -ing, -ed and -s of verbs, where four letters are left."""
+    noun = F.when(token.rlike("^.{3,}ies$"), F.regexp_replace(token, "ies$", "y")).when(token.rlike("^.{2,}(ss|us|is)$"), token)
+    noun = noun.when(token.rlike("^.{2,}(x|z|ch|sh|ss)es$"), F.regexp_replace(token, "es$", "")).when(token.rlike("^.{3,}s$"), F.regexp_replace(token, "s$", ""))
+    verb = F.when(token.rlike("^.{3,}(ies|ied)$"), F.regexp_replace(token, "ie[sd]$", "y")).when(token.rlike("^.{3,}ss$"), token)
+    verb = verb.when(token.rlike(r"^.{2,}([bdgmnprt])\1(ing|ed)$"), F.regexp_replace(token, r"([bdgmnprt])\1(ing|ed)$", "$1"))
+    verb = verb.when(token.rlike("^.{4,}(ing|ed)$"), F.regexp_replace(token, "(ing|ed)$", "")).when(token.rlike("^.{3,}s$"), F.regexp_replace(token, "s$", ""))
+    return F.when(pos.isin("NOUN", "PROPN"), F.coalesce(noun, token)).when(pos == "VERB", F.coalesce(verb, token)).otherwise(token)
+
+
+def token_map(tokens: DataFrame, rules: TokenRules, whitelist: DataFrame | None, lemmas: DataFrame | None, fallback: Callable[[Column, Column], Column] | None) -> DataFrame:
+    """raw -> t, the normalised token or null if it fails, for distinct raw tokens: each meets the tables once, however often it occurs."""
+    mapped = tokens.select("raw", lowered(bare(F.col("raw")), rules).alias("token"), universal_pos(F.col("raw")).alias("pos"))
     if lemmas is not None:
         exact = lemmas.where("pos IS NOT NULL").groupBy("token", "pos").agg(F.min("lemma").alias("by_pos"))
         loose = lemmas.where("pos IS NULL").groupBy("token").agg(F.min("lemma").alias("by_token"))
-        tokens = tokens.join(look_up_side(exact), ["token", "pos"], "left").join(look_up_side(loose), "token", "left")
-        tokens = tokens.select("ngram", "at", F.coalesce("by_pos", "by_token", "token").alias("token"))
+        mapped = mapped.join(exact, ["token", "pos"], "left").join(loose, "token", "left")
+        other = F.col("token") if fallback is None else fallback(F.col("token"), F.col("pos"))
+        mapped = mapped.select("raw", F.coalesce("by_pos", "by_token", other).alias("token"))
     if whitelist is not None:
         known = whitelist.select("token").distinct().withColumn("ok", F.lit(True))
-        tokens = tokens.join(look_up_side(known), "token", "left").select("ngram", "at", "token", F.coalesce("ok", F.lit(False)).alias("ok"))
-    else:
-        tokens = tokens.withColumn("ok", accepted(F.col("token"), rules))
-    parts = F.array_sort(F.collect_list(F.struct("at", F.when(F.col("ok"), F.col("token")).otherwise(F.lit(UNK)).alias("t"))))
-    grouped = tokens.groupBy("ngram").agg(F.max("ok").alias("ok"), parts.alias("parts")).where("ok")
-    return grouped.select("ngram", F.concat_ws(" ", F.transform("parts", lambda p: p["t"])).alias("normalised"))
+        return mapped.join(known, "token", "left").select("raw", F.when(F.col("ok"), F.col("token")).alias("t"))
+    return mapped.select("raw", F.when(accepted(F.col("token"), rules), F.col("token")).alias("t"))
+
+
+def normalise_with_tables(
+    ngrams: DataFrame, rules: TokenRules, whitelist: DataFrame | None = None, lemmas: DataFrame | None = None, column: str = "ngram",
+    fallback: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """(ngram, normalised) for the distinct n-grams that are kept, with a whitelist (token) and lemmas (token, pos or null, lemma).
+
+    The distinct tokens are mapped once. If a count shows that their map is small, it is broadcast and looked up place by place, and no
+    n-gram is exchanged; n-grams of more than PLACES tokens, and all where the map is large, are exploded, joined and put
+    together again. fallback gives the lemma of (token, universal tag) that no table has. An empty whitelist keeps nothing.
+    """
+    raw = ngrams.select(F.col(column).alias("ngram")).distinct()
+    words = raw.select("ngram", split_tokens(F.col("ngram")).alias("w"))
+    mapped = settled(token_map(words.select(F.explode("w").alias("raw")).distinct(), rules, whitelist, lemmas, fallback))
+    small = mapped.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    apart = words.where(F.size("w") > PLACES) if small else words
+    tokens = apart.select("ngram", F.posexplode("w").alias("at", "raw")).join(look_up_side(mapped), "raw")
+    parts = F.array_sort(F.collect_list(F.struct("at", F.coalesce("t", F.lit(UNK)).alias("t"))))
+    grouped = tokens.groupBy("ngram").agg(F.max(F.col("t").isNotNull()).alias("ok"), parts.alias("parts")).where("ok")
+    out = grouped.select("ngram", F.concat_ws(" ", F.transform("parts", lambda p: p["t"])).alias("normalised"))
+    if not small:
+        return out
+    short = words.where(F.size("w") <= PLACES)
+    for i in range(PLACES):
+        side = F.broadcast(mapped.select(F.col("raw").alias(f"raw{i}"), F.col("t").alias(f"t{i}")))  # at most BROADCAST_ROWS rows
+        short = short.join(side, F.try_element_at("w", F.lit(i + 1)) == F.col(f"raw{i}"), "left").drop(f"raw{i}")
+    short = short.where(F.coalesce(*[f"t{i}" for i in range(PLACES)]).isNotNull())
+    texts = [F.when(F.size("w") > i, F.coalesce(f"t{i}", F.lit(UNK))) for i in range(PLACES)]
+    return out.unionByName(short.select("ngram", F.concat_ws(" ", *texts).alias("normalised")))
 
 
 def ngram_type(ngram: Column, kind: str) -> Column:

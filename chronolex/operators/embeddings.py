@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolex.functions.vectors import cosine, dot, doubles, norm, unit
+from chronolex.session import settled
 
 
 def normalised(models: DataFrame) -> DataFrame:
@@ -117,11 +120,14 @@ def aligned(models: DataFrame, anchor: int, vocabulary: str = "anchor") -> DataF
     return models.select("year", "word", "vector").mapInPandas(run, "year int, word string, vector array<double>")
 
 
-def alignment_quality(models: DataFrame, anchor: int) -> DataFrame:
-    """year, distance of the best rotation from the identity, and whether that is as good as aligned."""
-    rows = [(year, float(np.linalg.norm(r - np.eye(len(r))))) for year, r in sorted(rotations(models, anchor).items())]
-    df = models.sparkSession.createDataFrame(rows, "year int, distance double")
-    return df.withColumn("aligned", F.col("distance") < 1e-3)
+def alignment_quality(models: DataFrame, anchor: int, tolerance: float = 1e-3, entry_tolerance: float = 1e-6) -> DataFrame:
+    """year, distance of the best rotation from the identity, verdict (minimal, small, significant), whether the distance is below
+    `tolerance`, and whether every entry is within `entry_tolerance`.
+    """
+    rows = [(year, float(np.linalg.norm(r - np.eye(len(r)))), bool((np.abs(r - np.eye(len(r))) < entry_tolerance).all())) for year, r in sorted(rotations(models, anchor).items())]
+    df = models.sparkSession.createDataFrame(rows, "year int, distance double, identical boolean")
+    verdict = F.when(F.col("distance") < 1e-4, "minimal").when(F.col("distance") < 1e-2, "small").otherwise("significant")
+    return df.select("year", "distance", verdict.alias("verdict"), (F.col("distance") < tolerance).alias("aligned"), "identical")
 
 
 def association(models: DataFrame, sets: DataFrame) -> DataFrame:
@@ -134,8 +140,16 @@ def association(models: DataFrame, sets: DataFrame) -> DataFrame:
     return means.select("year", "set", "word", (F.col("m1") - F.col("m2")).alias("s"))
 
 
+def set_cosines(models: DataFrame, sets: DataFrame) -> DataFrame:
+    """year, set (T1, T2), word, a (A1, A2), aw and c: the cosines of all targets and attributes of a year; the word sets are the query's own."""
+    vectors = models.join(F.broadcast(sets), "word").select("year", "set", "word", "vector")
+    targets, attributes = vectors.where(F.col("set").isin("T1", "T2")), vectors.where(F.col("set").isin("A1", "A2"))
+    both = targets.join(attributes.select("year", F.col("set").alias("a"), F.col("word").alias("aw"), F.col("vector").alias("av")), "year")
+    return both.select("year", "set", "word", "a", "aw", cosine(F.col("vector"), F.col("av")).alias("c"))
+
+
 def weat(models: DataFrame, sets: DataFrame, variant: str = "words") -> DataFrame:
-    """year and effect size: difference of the mean associations of T1 and T2 in standard deviations.
+    """year, effect size, the difference of the mean associations of T1 and T2 in standard deviations, and that deviation.
 
     words: over the targets' associations, with the sample deviation. pairwise: over all cosines of targets and attributes.
     Without variance the effect is null.
@@ -144,16 +158,24 @@ def weat(models: DataFrame, sets: DataFrame, variant: str = "words") -> DataFram
         a = association(models, sets)
         out = a.groupBy("year").agg((F.avg(F.when(F.col("set") == "T1", F.col("s"))) - F.avg(F.when(F.col("set") == "T2", F.col("s")))).alias("d"), F.stddev_samp("s").alias("std"))
     else:
-        vectors = models.join(F.broadcast(sets), "word").select("year", "set", "vector")
-        both = vectors.where(F.col("set").isin("T1", "T2")).join(vectors.where(F.col("set").isin("A1", "A2")).select("year", F.col("set").alias("a"), F.col("vector").alias("av")), "year")
-        both = both.withColumn("c", cosine(F.col("vector"), F.col("av")))
         mean = lambda t, a: F.avg(F.when((F.col("set") == t) & (F.col("a") == a), F.col("c")))
-        out = both.groupBy("year").agg((mean("T1", "A1") - mean("T1", "A2") - mean("T2", "A1") + mean("T2", "A2")).alias("d"), F.stddev_samp("c").alias("std"))
-    return out.select("year", F.when(F.col("std") > 0, F.col("d") / F.col("std")).alias("effect"))
+        out = set_cosines(models, sets).groupBy("year").agg((mean("T1", "A1") - mean("T1", "A2") - mean("T2", "A1") + mean("T2", "A2")).alias("d"), F.stddev_samp("c").alias("std"))
+    return out.select("year", F.when(F.col("std") > 0, F.col("d") / F.col("std")).alias("effect"), "std")
+
 
+def weat_series(models: DataFrame, sets: DataFrame, confidence: float = 0.95) -> DataFrame:
+    """year, effect and half the width of its band: z times the deviation, where years without one take the mean of the others, 0 if none has any."""
+    rows = weat(models, sets).withColumn("std", F.when(F.col("std") > 0, F.col("std")))
+    mean = rows.agg(F.avg("std").alias("mean_std"))  # one row
+    z = NormalDist().inv_cdf((1 + confidence) / 2)
+    return rows.join(F.broadcast(mean)).select("year", "effect", (F.lit(z) * F.coalesce("std", "mean_std", F.lit(0.0))).alias("band"))
 
-def weat_p_values(models: DataFrame, sets: DataFrame, permutations: int, seed: int, two_tailed: bool = True) -> DataFrame:
-    """year and the share of random splits of the targets whose difference of sums reaches the observed one; a year's targets are few."""
+
+def weat_p_values(models: DataFrame, sets: DataFrame, permutations: int | None, seed: int, two_tailed: bool = True) -> DataFrame:
+    """year and the share of splits of the targets whose difference of sums reaches the observed one; a year's targets are few.
+
+    permutations random splits; None takes every split once, so the result is exact. 0 gives null.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["set", "word"])
@@ -161,12 +183,32 @@ def weat_p_values(models: DataFrame, sets: DataFrame, permutations: int, seed: i
         fold = abs if two_tailed else (lambda x: x)
         seen = fold(s[:n].sum() - s[n:].sum())
         rng = np.random.default_rng(seed)
-        hits = sum(fold(2 * p[:n].sum() - p.sum()) >= seen - 1e-12 for p in (rng.permutation(s) for _ in range(permutations)))
-        return pd.DataFrame({"year": [pdf["year"].iloc[0]], "p": [hits / permutations if permutations else np.nan]})
+        first = (s[list(c)].sum() for c in itertools.combinations(range(len(s)), n)) if permutations is None else (rng.permutation(s)[:n].sum() for _ in range(permutations))
+        hits = [fold(2 * x - s.sum()) >= seen - 1e-12 for x in first]
+        return pd.DataFrame({"year": [pdf["year"].iloc[0]], "p": [float(np.mean(hits)) if hits else np.nan]})
 
     return association(models, sets).groupBy("year").applyInPandas(run, "year int, p double")
 
 
+def weat_pairwise_p_values(models: DataFrame, sets: DataFrame, permutations: int | None, seed: int) -> DataFrame:
+    """year and the share of splits of the targets whose pairwise effect is at least the observed one (one tail); None takes every split."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = pdf.pivot_table(index=["set", "word"], columns=["a", "aw"], values="c").sort_index()
+        c, n = table.to_numpy(), int((table.index.get_level_values(0) == "T1").sum())
+        sign = np.where(table.columns.get_level_values(0) == "A1", 1.0, -1.0)
+        share = sign / np.where(sign > 0, (sign > 0).sum(), (sign < 0).sum())
+        own = c @ share  # mean cosine to A1 less that to A2; the deviation is over all cosines, so it is the same for every split
+        rng, m = np.random.default_rng(seed), len(own)
+        splits = itertools.combinations(range(m), n) if permutations is None else (rng.permutation(m)[:n].tolist() for _ in range(permutations))
+        effect = lambda at: own[list(at)].mean() - np.delete(own, list(at)).mean()
+        seen = effect(range(n))
+        hits = [effect(at) >= seen - 1e-12 for at in splits]
+        return pd.DataFrame({"year": [pdf["year"].iloc[0]], "p": [float(np.mean(hits)) if hits and 0 < n < m else np.nan]})
+
+    return set_cosines(models, sets).groupBy("year").applyInPandas(run, "year int, p double")
+
+
 def spearman(models: DataFrame, pairs: DataFrame) -> DataFrame:
     """year and the rank correlation of cosines with scores, over the pairs whose words the year has; ties share their mean rank.
 
@@ -187,14 +229,33 @@ def spearman(models: DataFrame, pairs: DataFrame) -> DataFrame:
 def analogy_accuracy(models: DataFrame, analogies: DataFrame) -> DataFrame:
     """year and the share of a : b = c : d that the nearest word to b - a + c, other than the three, gets right.
 
-    A year's questions, a few thousand gold rows, meet its vocabulary in Arrow batches; the best of every batch is reduced by max_by.
+    A year's questions, a few thousand gold rows, go as one matrix to every batch of its vocabulary; each batch gives its best word of every
+    question, and max_by reduces these. Similarities are rounded, ties go to the word that sorts last.
     """
-    unitary = normalised(models)
+    unitary = normalised(models).select("year", "word", "vector")
     v = lambda n: unitary.select("year", F.col("word").alias(n), F.col("vector").alias(f"v{n}"))
-    known = F.broadcast(analogies).join(v("a"), "a").join(v("b"), ["year", "b"]).join(v("c"), ["year", "c"])
+    known = F.broadcast(analogies.select(*"abcd")).join(v("a"), "a").join(v("b"), ["year", "b"]).join(v("c"), ["year", "c"])
     known = known.join(unitary.select("year", F.col("word").alias("d")), ["year", "d"])
     target = F.zip_with(F.zip_with("vb", "va", lambda x, y: x - y), "vc", lambda x, y: x + y)
-    asked = known.select("year", "a", "b", "c", "d", target.alias("target"))
-    scored = asked.join(unitary.select("year", "word", "vector"), "year").where(~F.col("word").isin(F.col("a"), F.col("b"), F.col("c")))
-    best = scored.groupBy("year", "a", "b", "c", "d").agg(F.max_by("word", F.struct(F.round(dot(F.col("target"), F.col("vector")), 9), F.col("word"))).alias("found"))
-    return best.groupBy("year").agg(F.avg((F.col("found") == F.col("d")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("questions"))
+    asked = settled(known.select("year", F.xxhash64("year", *"abcd").alias("q"), *"abcd", target.alias("target")).dropDuplicates(["year", *"abcd"]))
+    questions = asked.groupBy("year").agg(F.collect_list(F.struct("q", *"abc", "target")).alias("asked"))  # a gold set a year
+
+    def best(frames):
+        for pdf in frames:
+            rows = []
+            for year, g in pdf.groupby("year"):
+                words, asked_ = g["word"].to_numpy(object), g["asked"].iloc[0]
+                near = np.round(np.stack([q["target"] for q in asked_]) @ np.stack(g["vector"].to_list()).T, 9)
+                order = np.argsort(words)  # of equal similarities the last word wins
+                for q, s in zip(asked_, near[:, order], strict=True):
+                    s = np.where(np.isin(words[order], [q["a"], q["b"], q["c"]]), -np.inf, s)
+                    k = len(s) - 1 - int(np.argmax(s[::-1]))
+                    if s[k] > -np.inf:
+                        rows.append((year, q["q"], words[order][k], float(s[k])))
+            yield pd.DataFrame(rows, columns=["year", "q", "word", "near"])
+
+    met = unitary.join(F.broadcast(questions), "year").select("year", "word", "vector", "asked")  # gold questions
+    found = met.mapInPandas(best, f"year {dict(models.dtypes)['year']}, q long, word string, near double")
+    found = found.groupBy("year", "q").agg(F.max_by("word", F.struct("near", "word")).alias("found"))
+    both = asked.select("year", "q", "d").join(found, ["year", "q"])
+    return both.groupBy("year").agg(F.avg((F.col("found") == F.col("d")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("questions"))

@@ -56,11 +56,29 @@ def covered(long: DataFrame, first: int, last: int) -> DataFrame:
     return rows.groupBy("ngram").agg(F.count_distinct("year").alias("years")).where(F.col("years") == last - first + 1).select("ngram")
 
 
-def spelled(tokens: DataFrame, dictionary: DataFrame, column: str = "ngram") -> DataFrame:
-    """Alphabetic tokens that the dictionary (`word`) has."""
+def spelled(tokens: DataFrame, dictionary: DataFrame | None, column: str = "ngram", language: str | None = None) -> DataFrame:
+    """Alphabetic tokens that the dictionary (`word`) has. Without one all tokens pass; with a language, the dictionary's `lang` rows
+    count, and a language that it lacks is an error.
+    """
+    if dictionary is None:
+        return tokens
+    if language is not None:
+        dictionary = dictionary.where(F.col("lang") == language)
+        if dictionary.limit(1).isEmpty():
+            raise ValueError(f"no dictionary of language {language!r}")
     return tokens.where(F.col(column).rlike(r"^\p{L}+$")).join(dictionary.select(F.col("word").alias(column)), column, "left_semi")
 
 
+def vocabulary_index(tokens: DataFrame, column: str = "ngram") -> DataFrame:
+    """Distinct tokens in order, with ranges of them in a partition each: what a sorted index of them holds."""
+    return tokens.select(F.col(column).alias("token")).distinct().repartitionByRange("token").sortWithinPartitions("token")
+
+
+def members(tokens: DataFrame, index: DataFrame, column: str = "ngram") -> DataFrame:
+    """Tokens that the index has."""
+    return tokens.join(index.select(F.col("token").alias(column)), column, "left_semi")
+
+
 def ranked(totals: DataFrame, column: str = "ngram") -> DataFrame:
     """All tokens by falling total, ties by token, with their rank. The rank is global: a range sort, then counts before each partition."""
     rows = settled(totals.orderBy(F.desc("total"), F.asc(column)).select(F.spark_partition_id().alias("part"), "*"))
@@ -112,15 +130,53 @@ def size_histogram(df: DataFrame, size: Column, width: int) -> DataFrame:
 
 
 def reservoir(df: DataFrame, k: int, seed: int, key: str = "ngram") -> DataFrame:
-    """A uniform sample of k rows: the k smallest seeded hashes; each task keeps k at most."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(k)
+    """A uniform sample of k rows: the k smallest seeded digests; each task keeps k at most."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string")).cast("binary")), key).limit(k)
 
 
 def density_bounds(sample: DataFrame, parts: int, key: str = "ngram") -> DataFrame:
-    """Keys that cut a bounded, sorted sample into parts of equal size: those at place part * len / parts."""
-    rows = sample.select(F.row_number().over(Window.orderBy(key)).alias("rn"), F.col(key).alias("key"), F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n"))
+    """Keys that cut a sorted sample into parts of equal size: those at place part * len / parts.
+
+    Places come from a range sort and the counts before each of its partitions, so no task sees all keys.
+    """
+    rows = settled(sample.select(F.col(key).alias("key")).orderBy("key").select(F.spark_partition_id().alias("at"), "key"))
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("at").count()
+    starts = counts.select("at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"), F.sum("count").over(Window.partitionBy(F.lit(0))).alias("n"))  # a row a partition
+    placed = rows.join(F.broadcast(starts), "at").select("key", "n", (F.col("start") + F.row_number().over(Window.partitionBy("at").orderBy("key")) - 1).alias("place"))
     places = sample.sparkSession.range(1, parts).withColumnRenamed("id", "part")
-    return rows.join(F.broadcast(places), F.col("rn") - 1 == F.floor(F.col("part") * F.col("n") / parts)).select("part", "key")
+    return placed.join(F.broadcast(places), F.col("place") == F.floor(F.col("part") * F.col("n") / parts)).select("part", "key")
+
+
+def bounds(sample: DataFrame, parts: int, key: str = "ngram", least: int = 4) -> DataFrame:
+    """Boundaries of work units: by density from `least` parts on if the sample has as many keys, else evenly over the byte space."""
+    if parts >= least and sample.limit(parts).count() == parts:
+        return density_bounds(sample, parts, key).select("part", F.col("key").cast("binary").alias("key"))
+    rows = [(i, k) for i, k in enumerate(uniform_bounds(parts), 1)]
+    return sample.sparkSession.createDataFrame(rows, "part long, key binary")
+
+
+def unit_name(start: bytes | None, end: bytes | None) -> str:
+    """A name for a range of keys: hexadecimal heads of both ends, open ones empty, and six digits of their digest."""
+    import hashlib
+
+    a, b = start or b"", end or b""
+    return f"{a[:4].hex()}-{b[:4].hex()}-{hashlib.sha256(a + b'|' + b).hexdigest()[:6]}"
+
+
+def is_empty(df: DataFrame, lower: str = "", upper: str | None = None, key: str = "ngram") -> bool:
+    """Whether a range of keys holds no row; reads no more than one."""
+    rows = df.where(F.col(key) >= lower)
+    return (rows if upper is None else rows.where(F.col(key) < upper)).limit(1).isEmpty()
+
+
+def lookup_key(long: DataFrame, text: str) -> DataFrame:
+    """Counts of a readable key: `[year] ngram` is one row, `[year]` a year's rows, and a bare n-gram its rows of year 0."""
+    import re
+
+    m = re.match(r"\[(\d+)\]\s*(.*)", text)
+    year, ngram = (int(m[1]), m[2]) if m else (0, text)
+    return year_scan(long, year) if m and not ngram else point_lookup(long, year, ngram)
 
 
 def uniform_bounds(parts: int) -> list[bytes]:

@@ -100,3 +100,15 @@ def mixed(rows: DataFrame, names: list[str], group: str) -> Fit:
     ratio = min((grid[best], (low + high) / 2), key=lambda x: solve(x)[0])
     _, b, inverse, variance = solve(ratio)
     return Fit(names, b, np.sqrt(np.maximum(np.diag(inverse), 0) * variance), variance, ratio * variance)
+
+
+def fitted(rows: DataFrame, names: list[str], group: str | None) -> tuple[str, Fit]:
+    """A random-intercept model by group, or least squares where there is no group or the mixed model cannot be fitted: its kind and the fit."""
+    if group is not None:
+        try:
+            fit = mixed(rows, names, group)
+            if np.isfinite(fit.coefficients).all() and np.isfinite(fit.errors).all():
+                return "mixed", fit
+        except (np.linalg.LinAlgError, ValueError, ZeroDivisionError, FloatingPointError):
+            pass
+    return "ols", ols(rows, names)

@@ -9,7 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolex.functions.tokens import UNK
+
 SETTINGS = ("weight_by", "vector_size", "window", "min_count", "approach", "epochs")
+# The form of model names; the first has fields of three digits, as written, the second fields of any width.
+STRICT_NAME = r"^w2v_y(\d+)_wb(\w+)_vs(\d{3})_w(\d{3})_mc(\d{3})_sg(\d+)_e(\d{3})\.kv"
 NAME = r"^w2v_y(\d+)_wb([a-z_]+)_vs(\d+)_w(\d+)_mc(\d+)_sg(\d)_e(\d+)\.kv$"
 
 
@@ -28,11 +32,13 @@ def model_name() -> Column:
     )
 
 
-def parse_name(name: Column) -> Column:
-    part = lambda i: F.regexp_extract(name, NAME, i)
+def parse_name(name: Column, strict: bool = False) -> Column:
+    """Year and settings of a model's name, null for other names; strict: only fields of three digits, as model_name writes them."""
+    pattern = STRICT_NAME if strict else NAME
+    part = lambda i: F.regexp_extract(name, pattern, i)
     number = lambda i: part(i).try_cast("int")
     return F.when(
-        name.rlike(NAME),
+        name.rlike(pattern),
         F.struct(
             number(1).alias("year"), part(2).alias("weight_by"), number(3).alias("vector_size"), number(4).alias("window"),
             number(5).alias("min_count"), F.when(part(6) == "1", "skip-gram").otherwise("CBOW").alias("approach"), number(7).alias("epochs"),
@@ -40,6 +46,33 @@ def parse_name(name: Column) -> Column:
     )
 
 
+def model_folders(corpus: str, suffix: str) -> tuple[str, str, str]:
+    """(table of the corpus, folder of models, folder of logs) for a corpus folder that ends with the size of its n-grams."""
+    name = corpus.rstrip("/").rsplit("/", 1)[-1]
+    if not name.endswith("gram_files") or "NLP_corpora" not in corpus:
+        raise ValueError(f"{corpus!r} is no folder of n-gram files below NLP_corpora")
+    base = corpus.rstrip("/").replace("NLP_corpora", "NLP_models")
+    return f"{corpus.rstrip('/')}/{name.removesuffix('gram_files')}grams_pivoted.db", f"{base}/models_{suffix}", f"{base}/logs_{suffix}/training"
+
+
+def to_train(wanted: DataFrame, saved: DataFrame, mode: str = "resume") -> tuple[DataFrame, DataFrame]:
+    """(settings to train, names of saved models to remove) by mode; saved has model and valid.
+
+    resume keeps whole models and removes broken ones; restart removes all; new takes models to be there for an error.
+    """
+    if mode not in ("resume", "restart", "new"):
+        raise ValueError(f"unknown mode {mode!r}")
+    named = saved.withColumn("p", parse_name(F.col("model")))
+    if mode == "restart":
+        return wanted, saved.select("model")
+    if mode == "new":
+        if not saved.limit(1).isEmpty():
+            raise FileExistsError("there are models already")
+        return wanted, saved.select("model")
+    whole = named.where("valid").select("p.year", *[f"p.{s}" for s in SETTINGS])
+    return untrained(wanted, whole), saved.where("NOT valid").select("model")
+
+
 def untrained(wanted: DataFrame, models: DataFrame) -> DataFrame:
     """Settings of which there is no model yet."""
     return wanted.join(models, ["year", *SETTINGS], "left_anti")
@@ -54,8 +87,11 @@ def by_settings(results: DataFrame, settings: list[str], metric: str) -> DataFra
     return results.groupBy(*settings).agg(F.avg(metric).alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
-def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarray, size: int, window: int, epochs: int, skip_gram: bool, negative: int = 5, rate: float = 0.025, seed: int = 1, batch: int = 256) -> np.ndarray:
-    """Skip-gram or CBOW with negative sampling, in batches; a sentence's weight scales its steps."""
+def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarray, size: int, window: int, epochs: int, skip_gram: bool, negative: int = 5, rate: float = 0.025, seed: int = 1, batch: int = 256, losses: list[float] | None = None) -> np.ndarray:
+    """Skip-gram or CBOW with negative sampling, in batches; a sentence's weight scales its steps.
+
+    losses, if given, gets the mean negative log-likelihood of every epoch.
+    """
     rng = np.random.default_rng(seed)
     vocabulary = len(counts)
     inner = ((rng.random((vocabulary, size)) - 0.5) / size).astype(np.float32)
@@ -70,7 +106,7 @@ def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarr
     weight = weight / weight.mean()
     steps, step = epochs * -(-len(centre) // batch), 0
     for _ in range(epochs):
-        order = rng.permutation(len(centre))
+        order, loss = rng.permutation(len(centre)), 0.0
         for at in range(0, len(order), batch):
             b = order[at : at + batch]
             target = np.column_stack([context[b], np.searchsorted(noise, rng.random((len(b), negative)) * noise[-1])])
@@ -78,19 +114,30 @@ def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarr
             goal[:, 0] = 1
             goal[:, 1:][target[:, 1:] == target[:, :1]] = 1
             v, u = inner[centre[b]], outer[target]
-            g = 1 / (1 + np.exp(-np.clip(np.einsum("bd,bkd->bk", v, u), -20, 20))) - goal
+            g = 1 / (1 + np.exp(-np.clip(np.einsum("bd,bkd->bk", v, u), -20, 20)))
+            loss -= float(np.log(np.maximum(np.where(goal > 0, g, 1 - g), 1e-12)).sum())
+            g -= goal
             g *= (weight[b] * max(rate * (1 - step / steps), rate * 1e-2))[:, None]
             np.add.at(outer, target, -(g[:, :, None] * v[:, None, :]).astype(np.float32))
             np.add.at(inner, centre[b], -np.einsum("bk,bkd->bd", g, u).astype(np.float32))
             step += 1
+        if losses is not None:
+            losses.append(loss / len(centre))
     return inner
 
 
-def train(corpus: DataFrame, wanted: DataFrame, seed: int = 1) -> DataFrame:
+def train(corpus: DataFrame, wanted: DataFrame, seed: int = 1, unk: str = "reject") -> DataFrame:
     """year, settings, word and vector, one model a task: its corpus is the weighted distinct n-grams of a year.
 
-    corpus has year, tokens, weight; wanted the grid. The corpus of a year goes once to each of its models.
+    corpus has year, tokens, weight; wanted the grid. The corpus of a year goes once to each of its models. unk says what becomes of
+    sentences with UNK: reject drops them, strip takes UNK out and keeps what has two words left, retain trains a vector for it.
     """
+    if unk not in ("reject", "strip", "retain"):
+        raise ValueError(f"unknown policy {unk!r}")
+    if unk == "reject":
+        corpus = corpus.where(~F.array_contains("tokens", UNK))
+    elif unk == "strip":
+        corpus = corpus.withColumn("tokens", F.array_remove("tokens", UNK)).where(F.size("tokens") > 1)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import string
 from collections.abc import Callable
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolex.functions.tokens import POS_TAGS
+from chronolex.plans.stages import run_stage
+from chronolex.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,17 +44,30 @@ def ngram_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def year_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ngram_year as a table partitioned by year in the shared folder, written once a session; scans of it read the years they ask for."""
+    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return run_stage(spark, lambda: ngram_year(spark, sf_dir), f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-year-store-{name}", partition_by="year")
+
+
 NY = """ny AS (SELECT p_name AS ngram, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS match_count,
   CAST(count(DISTINCT l_orderkey) AS BIGINT) AS volume_count FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows over all cores, where a small table's files would give work to a few of them only."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+
+
 def doc_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tagged bigrams of documents: ngram, year, doc_id."""
+    """Tagged bigrams of documents: ngram, year, doc_id. Pairs of words are exploded, so no row carries its document."""
     tags = F.array(*[F.lit(t) for t in POS_TAGS])
-    words = table(spark, sf_dir, "documents").select("doc_id", F.expr(r"regexp_extract_all(text, '[^ \\t\\n\\r]+', 0)").alias("w"))
-    pairs = words.where(F.size("w") > 1).select("doc_id", "w", F.explode(F.expr("sequence(1, size(w) - 1)")).alias("i"))
+    words = dealt(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.expr(r"regexp_extract_all(text, '[^ \\t\\n\\r]+', 0)").alias("w"))
+    zipped = F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("a"), F.slice("w", F.lit(2), F.size("w") - 1).alias("b"))
+    pairs = words.where(F.size("w") > 1).select("doc_id", F.posexplode(zipped).alias("p", "pair")).select("doc_id", (F.col("p") + 1).alias("i"), "pair.*")
     second = F.when(F.col("i") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("_"), tags[(F.col("i") + 5) % 12]))
-    text = F.concat(F.col("w")[F.col("i") - 1], F.lit("_"), tags[F.col("i") % 12], F.lit(" "), F.col("w")[F.col("i")], second)
+    text = F.concat("a", F.lit("_"), tags[F.col("i") % 12], F.lit(" "), "b", second)
     return pairs.select(text.alias("ngram"), (1990 + F.col("doc_id") % 20).cast("int").alias("year"), "doc_id")
 
 

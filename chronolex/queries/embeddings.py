@@ -66,6 +66,17 @@ def procrustes_align(spark, sf_dir) -> DataFrame:
     return emb.aligned(embeddings_year(spark, sf_dir), 1990)
 
 
+@query(f"""WITH {EY}, u AS (SELECT year, word, list_transform(v, lambda x: x / sqrt({sql_dot('v', 'v')})) AS v FROM ey), k AS (SELECT * FROM u WHERE word IN (SELECT word FROM u WHERE year = 1990)),
+n AS (SELECT *, lead(word) OVER (PARTITION BY year ORDER BY word) AS other FROM k) SELECT a.year, a.word, round({sql_dot('a.v', 'b.v')}, 6) + 0.0 AS near FROM n a JOIN k b ON a.year = b.year AND a.other = b.word""")
+def procrustes_angles(spark, sf_dir) -> DataFrame:
+    """Rotations keep every angle: dot products of neighbours by word within a year, after alignment."""
+    from pyspark.sql import Window
+
+    turned = emb.aligned(embeddings_year(spark, sf_dir), 1990)
+    pairs = turned.withColumn("next", F.lead("vector").over(Window.partitionBy("year").orderBy("word"))).where("next IS NOT NULL")
+    return pairs.select("year", "word", (F.round(emb.dot(F.col("vector"), F.col("next")), 6) + 0.0).alias("near"))
+
+
 @query()
 def alignment_check(spark, sf_dir) -> DataFrame:
     models = embeddings_year(spark, sf_dir)
@@ -116,9 +127,15 @@ def gaussian_smooth(spark, sf_dir) -> DataFrame:
     return ser.gaussian_smooth(ser.interpolated(event_series(spark, sf_dir), 1, 30), 2.0).select("year", F.round("value", 6).alias("value"))
 
 
-@query()
+_ALL = _INTERP.replace(" AND day(ts) % 4 <> 2", "").replace("range(1, 31)", "range(1, 32)")
+_SG = ", ".join(f"({at}, {o}, {w!r}::DOUBLE)" for at in range(11) for o, w in enumerate(ser.savgol_weights(11, 3, at, 1.0).tolist()))
+
+
+@query(f"""WITH {_ALL}, r AS (SELECT year, value, row_number() OVER (ORDER BY year) - 1 AS i, count(*) OVER () AS n FROM it), w(place, o, w) AS (VALUES {_SG}),
+s AS (SELECT year, i, greatest(0, least(i - 5, n - 11)) AS start FROM r) SELECT CAST(s.year AS DOUBLE) AS year, round(sum(w.w * r.value), 6) AS derivative FROM s JOIN w ON w.place = s.i - s.start JOIN r ON r.i = s.start + w.o GROUP BY 1""")
 def savgol_derivative(spark, sf_dir) -> DataFrame:
-    return ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir, gaps=False), 1, 31))
+    out = ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir, gaps=False), 1, 31))
+    return out.select("year", F.round("derivative", 6).alias("derivative"))
 
 
 @query(f"WITH {EY}, c AS (SELECT a.year, {sql_cos('a.v', 'b.v')} AS value FROM ey a JOIN ey b ON a.year = b.year WHERE a.word = 'w3' AND b.word = 'w4'), r AS (SELECT *, (row_number() OVER (ORDER BY year) - 1) // 3 AS chunk FROM c) SELECT CAST(chunk AS BIGINT) AS chunk, round(avg(year), 6) AS year, round(avg(value), 6) AS value FROM r GROUP BY 1")
@@ -140,6 +157,28 @@ def weat_pairwise(spark, sf_dir) -> DataFrame:
     return emb.weat(embeddings_year(spark, sf_dir), word_sets(spark), "pairwise").select("year", F.round("effect", 6).alias("effect"))
 
 
+@query(f"""WITH {_ASSOC}, m AS (SELECT year, s, word, avg(c) FILTER (a = 'A1') - avg(c) FILTER (a = 'A2') AS x FROM cs GROUP BY 1, 2, 3), e AS (SELECT year, avg(x) FILTER (s = 'T1') - avg(x) FILTER (s = 'T2') AS d, stddev_samp(x) AS std FROM m GROUP BY 1)
+SELECT year, round(d / std, 6) AS effect, round({_Z!r} * std, 6) AS band FROM e""")
+def weat_intervals(spark, sf_dir) -> DataFrame:
+    return emb.weat_series(embeddings_year(spark, sf_dir), word_sets(spark)).select("year", F.round("effect", 6).alias("effect"), F.round("band", 6).alias("band"))
+
+
+_SPLITS = f"""{_ASSOC}, m AS (SELECT year, s, word, avg(c) FILTER (a = 'A1') - avg(c) FILTER (a = 'A2') AS x FROM cs GROUP BY 1, 2, 3),
+t AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY s, word) - 1 AS i, count(*) OVER (PARTITION BY year) AS all_, count(*) FILTER (s = 'T1') OVER (PARTITION BY year) AS n1 FROM m),
+b AS (SELECT year, z AS mask, any_value(all_) AS all_, any_value(n1) AS n1, sum(CASE WHEN (z >> i) & 1 = 1 THEN x ELSE 0 END) AS first, sum(x) AS total FROM t, range(64) AS r(z) GROUP BY 1, 2),
+k AS (SELECT * FROM b WHERE mask < (1 << all_) AND bit_count(mask) = n1), seen AS (SELECT year, first, total, n1, all_ FROM k WHERE mask = (1 << n1) - 1)"""
+
+
+@query(f"WITH {_SPLITS} SELECT k.year, round(avg(CASE WHEN abs(2 * k.first - k.total) >= abs(2 * seen.first - seen.total) - 1e-12 THEN 1.0 ELSE 0.0 END), 6) AS p FROM k JOIN seen USING (year) GROUP BY 1")
+def weat_exact(spark, sf_dir) -> DataFrame:
+    return emb.weat_p_values(embeddings_year(spark, sf_dir), word_sets(spark), None, seed=0).select("year", F.round("p", 6).alias("p"))
+
+
+@query(f"WITH {_SPLITS} SELECT k.year, round(avg(CASE WHEN k.first / k.n1 - (k.total - k.first) / (k.all_ - k.n1) >= seen.first / seen.n1 - (seen.total - seen.first) / (seen.all_ - seen.n1) - 1e-12 THEN 1.0 ELSE 0.0 END), 6) AS p FROM k JOIN seen USING (year) GROUP BY 1")
+def weat_pairwise_exact(spark, sf_dir) -> DataFrame:
+    return emb.weat_pairwise_p_values(embeddings_year(spark, sf_dir), word_sets(spark), None, seed=0).select("year", F.round("p", 6).alias("p"))
+
+
 @query()
 def weat_pvalue(spark, sf_dir) -> DataFrame:
     return emb.weat_p_values(embeddings_year(spark, sf_dir), word_sets(spark), 200, seed=5)
@@ -157,7 +196,10 @@ def eval_similarity(spark, sf_dir) -> DataFrame:
     return emb.spearman(embeddings_year(spark, sf_dir), gold_pairs(spark)).select("year", F.round("spearman", 6).alias("spearman"), "pairs")
 
 
-@query()
+@query(f"""WITH {EY}, u AS (SELECT year, word, list_transform(v, lambda x: x / sqrt({sql_dot('v', 'v')})) AS v FROM ey), q AS (SELECT 'w' || i AS a, 'w' || (i + 1) AS b, 'w' || (i + 2) AS c, 'w' || (i + 3) AS d FROM range(1, 20) AS t(i)),
+k AS (SELECT a.year, q.*, list_transform(list_zip(a.v, b.v, c.v), lambda z: z[2] - z[1] + z[3]) AS target FROM q JOIN u a ON a.word = q.a JOIN u b ON b.word = q.b AND b.year = a.year JOIN u c ON c.word = q.c AND c.year = a.year JOIN u d ON d.word = q.d AND d.year = a.year),
+s AS (SELECT k.year, k.a, k.d, u.word, row_number() OVER (PARTITION BY k.year, k.a ORDER BY round({sql_dot('k.target', 'u.v')}, 9) DESC, u.word DESC) AS rn FROM k JOIN u ON u.year = k.year AND u.word NOT IN (k.a, k.b, k.c))
+SELECT year, avg(CASE WHEN word = d THEN 1.0::DOUBLE ELSE 0.0 END) AS accuracy, CAST(count(*) AS BIGINT) AS questions FROM s WHERE rn = 1 GROUP BY 1""")
 def eval_analogy(spark, sf_dir) -> DataFrame:
     rows = ", ".join(f"('s', 'w{i}', 'w{i + 1}', 'w{i + 2}', 'w{i + 3}')" for i in range(1, 20))
     return emb.analogy_accuracy(embeddings_year(spark, sf_dir), spark.sql(f"SELECT * FROM VALUES {rows} AS t(section, a, b, c, d)"))
@@ -189,6 +231,14 @@ def parse_model_name(spark, sf_dir) -> DataFrame:
     return train_grid(spark, sf_dir).select("model", training.parse_name(F.col("model")).alias("p")).select("model", "p.year", "p.window")
 
 
+@query(f"WITH {_GRID_SQL} SELECT {_NAME_SQL} AS model, g.*, true AS strict, false AS short_strict FROM g")
+def parse_model_fields(spark, sf_dir) -> DataFrame:
+    """All fields, and which of the two forms takes a name whose fields are short."""
+    rows = train_grid(spark, sf_dir).select("model", training.parse_name(F.col("model")).alias("p"), training.parse_name(F.col("model"), strict=True).isNotNull().alias("strict"))
+    short = training.parse_name(F.regexp_replace("model", r"_(vs|w|mc|e)0+(\d)", "_$1$2"), strict=True).isNotNull()
+    return rows.select("model", "p.*", "strict", short.alias("short_strict"))
+
+
 @query(f"WITH {_GRID_SQL} SELECT year, max({_NAME_SQL}) AS model FROM g GROUP BY 1")
 def latest_model(spark, sf_dir) -> DataFrame:
     return training.latest(train_grid(spark, sf_dir))
@@ -235,3 +285,10 @@ def ols_simple(spark, sf_dir) -> DataFrame:
 def mixed_model(spark, sf_dir) -> DataFrame:
     rows, names = reg.design(_regression_rows(spark, sf_dir), "y", ["x"], ["segment"], [("x", "segment")], keep=("g",))
     return _summary(spark, reg.mixed(rows, names, "g"))
+
+
+@query("""WITH d AS (SELECT c_acctbal AS y, CAST(c_custkey AS DOUBLE) AS x FROM customer), m AS (SELECT avg(x) AS mx, avg(y) AS my, count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx FROM d),
+r AS (SELECT sum((y - a - b * x) * (y - a - b * x)) / (any_value(n) - 2) AS s2 FROM d, m) SELECT 'intercept' AS term, round(sqrt(s2 * (1.0 / n + mx * mx / sxx)), 3) AS error FROM r, m UNION ALL SELECT 'x', round(sqrt(s2 / sxx), 3) FROM r, m""")
+def ols_errors(spark, sf_dir) -> DataFrame:
+    rows, names = reg.design(reg.prepared(_regression_rows(spark, sf_dir), "y", ["x"]), "y", ["x"], [], standardise=False)
+    return _summary(spark, reg.fitted(rows, names, None)[1]).select("term", F.round("error", 3).alias("error"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from chronolex.functions import codec, tokens
 from chronolex.operators import ngrams as ops
-from chronolex.queries.base import DN, NY, STOP, YEARS, doc_bigrams, ngram_year, query, sql_accepted, sql_normalised, sql_tokens, table
+from chronolex.operators import progress
+from chronolex.queries.base import DN, NY, STOP, YEARS, doc_bigrams, ngram_year, query, sql_accepted, sql_normalised, sql_tokens, table, year_store
 from chronolex.sources import ngrams as src
 
 RULES = tokens.TokenRules(stop_words=STOP)
@@ -56,6 +57,14 @@ for _kind, _where in (("tagged", f"len(list_filter(string_split(ngram, ' '), lam
     query(f"WITH {DN} SELECT ngram, CAST(count(*) AS BIGINT) AS n FROM dn WHERE {_where} GROUP BY 1")(_f)
 
 
+@query("SELECT p_name AS ngram, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1")
+def ngram_type_untagged_names(spark, sf_dir) -> DataFrame:
+    """Part names carry no tags, tagged copies of them are left out."""
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("ngram"))
+    both = names.unionByName(names.select(F.concat("ngram", F.lit("_NOUN")).alias("ngram")))
+    return both.where(tokens.ngram_type(F.col("ngram"), "untagged")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+
+
 def file_listing(spark, sf_dir) -> DataFrame:
     keys = table(spark, sf_dir, "nation").select(F.concat(F.lit("<Key>1-"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0"), F.lit("-of-00025.gz</Key>")).alias("k"))
     return keys.select(F.concat(F.lit("<ListBucketResult>"), "k", F.lit("<Key>readme.txt</Key></ListBucketResult>")).alias("page"))
@@ -69,6 +78,15 @@ def list_files(spark, sf_dir) -> DataFrame:
     return src.listed_files(file_listing(spark, sf_dir), src.location(1, "20200217", "eng")[1])
 
 
+@query(f"WITH {_FILES} SELECT 'https://storage.googleapis.com/books/' || filename AS url, filename FROM files")
+def list_release(spark, sf_dir) -> DataFrame:
+    """Two listing pages, the first truncated, through the lister."""
+    keys = [f"<Key>{r['filename']}</Key>" for r in list_files(spark, sf_dir).select("filename").collect()]
+    address = src.location(1, "20200217", "eng")[0]
+    saved = {address: f"<ListBucketResult><IsTruncated>true</IsTruncated>{''.join(keys[:12])}<NextMarker>m/1</NextMarker></ListBucketResult>", f"{address}&marker=m%2F1": f"<ListBucketResult>{''.join(keys[11:])}</ListBucketResult>"}
+    return src.list_release(spark, saved.__getitem__, 1, "20200217", "eng")
+
+
 @query(f"WITH {_FILES} SELECT filename AS url, filename FROM files ORDER BY filename LIMIT 8 OFFSET 3")
 def file_subset(spark, sf_dir) -> DataFrame:
     return src.subset(list_files(spark, sf_dir), (3, 10))
@@ -80,7 +98,7 @@ def resume_antijoin(spark, sf_dir) -> DataFrame:
     return src.unprocessed(list_files(spark, sf_dir), done)
 
 
-@query()
+@query(f"WITH {_FILES} SELECT filename AS url, filename FROM files ORDER BY md5('7/' || filename)")
 def shuffle_files(spark, sf_dir) -> DataFrame:
     return src.shuffled(list_files(spark, sf_dir), seed=7)
 
@@ -251,12 +269,12 @@ def packed_records(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {NY} SELECT ngram, year, match_count, volume_count FROM ny WHERE year = 1998")
 def year_scan(spark, sf_dir) -> DataFrame:
-    return ops.year_scan(ngram_year(spark, sf_dir), 1998)
+    return ops.year_scan(year_store(spark, sf_dir), 1998)
 
 
 @query(f"WITH {NY} SELECT ngram, year, match_count, volume_count FROM ny WHERE year BETWEEN 1996 AND 1999 AND ngram LIKE '%e%'")
 def year_range_scan(spark, sf_dir) -> DataFrame:
-    return ops.year_scan(ngram_year(spark, sf_dir), 1996, 1999, keep=F.col("ngram").contains("e"))
+    return ops.year_scan(year_store(spark, sf_dir), 1996, 1999, keep=F.col("ngram").contains("e"))
 
 
 @query(f"WITH {NY} SELECT * FROM ny WHERE starts_with(ngram, 'red')")
@@ -272,7 +290,7 @@ def range_scan(spark, sf_dir) -> DataFrame:
 @query(f"WITH {NY} SELECT match_count, volume_count FROM ny WHERE year = 1997 AND ngram = (SELECT min(p_name) FROM part)")
 def point_lookup(spark, sf_dir) -> DataFrame:
     first = table(spark, sf_dir, "part").agg(F.min("p_name")).first()[0]
-    return ops.point_lookup(ngram_year(spark, sf_dir), 1997, first)
+    return ops.point_lookup(year_store(spark, sf_dir), 1997, first)
 
 
 @query(f"WITH {NY} SELECT * FROM ny")
@@ -362,7 +380,7 @@ def density_bounds(spark, sf_dir) -> DataFrame:
     return ops.density_bounds(_totals(spark, sf_dir), 8)
 
 
-@query()
+@query(f"WITH {_TOTALS} SELECT * FROM t ORDER BY md5('3/' || ngram), ngram LIMIT 20")
 def reservoir_sample(spark, sf_dir) -> DataFrame:
     return ops.reservoir(_totals(spark, sf_dir), 20, seed=3)
 
@@ -401,3 +419,66 @@ def weighted_sentences(spark, sf_dir) -> DataFrame:
 @query(f"WITH {NY}, s AS (SELECT unnest(string_split(ngram, ' ')) AS word, greatest(1, CAST(floor(ln(match_count + 1) / ln(10)) AS BIGINT)) AS w FROM ny) SELECT word, CAST(sum(w) AS BIGINT) AS n FROM s GROUP BY 1 HAVING sum(w) >= 60")
 def vocab_min_count(spark, sf_dir) -> DataFrame:
     return ops.word_counts(_sentences(spark, sf_dir), 60)
+
+
+# --- counts, formats, indexes ----------------------------------------------------------------------------------------
+
+
+@query("""WITH u AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'processing' ELSE 'pending' END AS status, o_custkey % 50 AS w, CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey // 10 END AS p FROM orders),
+s AS (SELECT * FROM u WHERE id NOT IN (SELECT p FROM u WHERE p IS NOT NULL)) SELECT CAST(count(*) FILTER (status = 'pending') AS BIGINT) AS pending, CAST(count(*) FILTER (status = 'processing') AS BIGINT) AS processing,
+CAST(count(*) FILTER (status = 'completed') AS BIGINT) AS completed, CAST(count(*) FILTER (status = 'failed') AS BIGINT) AS failed, CAST((SELECT count(*) FROM u) - count(*) AS BIGINT) AS split, CAST(count(DISTINCT CASE WHEN status = 'processing' THEN w END) AS BIGINT) AS workers FROM s""")
+def status_counts(spark, sf_dir) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "processing").otherwise("pending")
+    parent = F.when(F.col("o_orderkey") % 10 == 0, F.floor(F.col("o_orderkey") / 10))
+    units = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("unit_id"), status.alias("status"), (F.col("o_custkey") % 50).alias("claimed_by"), parent.alias("parent_id"))
+    return progress.status_counts(units)
+
+
+@query(f"""WITH {NY}, n AS (SELECT *, {_T} AS toks FROM ny), k AS (SELECT year, count(*) AS all_, count({_NORM}) AS kept, sum(match_count) AS m FROM n GROUP BY 1)
+SELECT year, round(kept / all_, 6) AS kept_ratio, round(m / all_, 6) AS expansion FROM k""")
+def kept_ratio(spark, sf_dir) -> DataFrame:
+    """Share of n-grams that the token rules keep and occurrences for each n-gram, by year."""
+    rows = ngram_year(spark, sf_dir).withColumn("kept", tokens.normalise(F.col("ngram"), RULES))
+    sums = rows.groupBy("year").agg(F.count(F.lit(1)).alias("all"), F.count("kept").alias("kept"), F.sum("match_count").alias("m"))
+    return sums.select("year", F.round(progress.ratio(F.col("kept"), F.col("all")), 6).alias("kept_ratio"), F.round(progress.ratio(F.col("m"), F.col("all")), 6).alias("expansion"))
+
+
+@query("""WITH f AS (SELECT CAST(p_size AS BIGINT) * 1048576 AS b, p_partkey % 11 = 0 AS bad FROM part), t AS (SELECT count(*) FILTER (NOT bad) AS ok, count(*) FILTER (bad) AS failed, sum(b) AS b FROM f)
+SELECT CAST(ok AS BIGINT) AS done, CAST(failed AS BIGINT) AS failed, round(90.0 / ok, 6) AS seconds_a_file, round(3600 / (90.0::DOUBLE / ok), 4) AS files_an_hour, round(b / 1048576.0 / 90.0, 4) AS mebibytes_a_second FROM t""")
+def throughput(spark, sf_dir) -> DataFrame:
+    files = table(spark, sf_dir, "part").select((F.col("p_size").cast("long") * (1 << 20)).alias("bytes"), F.when(F.col("p_partkey") % 11 == 0, "timeout").alias("error"))
+    out = progress.throughput(files, 90.0)
+    return out.select("done", "failed", F.round("seconds_a_file", 6).alias("seconds_a_file"), F.round("files_an_hour", 4).alias("files_an_hour"), F.round("mebibytes_a_second", 4).alias("mebibytes_a_second"))
+
+
+@query("SELECT DISTINCT t AS token FROM (SELECT unnest(string_split(p_name, ' ')) AS t FROM part)")
+def vocab_index(spark, sf_dir) -> DataFrame:
+    return ops.vocabulary_index(table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("ngram")))
+
+
+@query(f"WITH {_TOTALS} SELECT * FROM t WHERE ngram IN (SELECT p_name FROM part WHERE p_size > 40)")
+def vocab_members(spark, sf_dir) -> DataFrame:
+    index = ops.vocabulary_index(table(spark, sf_dir, "part").where("p_size > 40"), "p_name")
+    return ops.members(_totals(spark, sf_dir), index)
+
+
+@query(f"WITH {NY} SELECT ngram, match_count, volume_count FROM ny WHERE year = 1996")
+def lookup_year_key(spark, sf_dir) -> DataFrame:
+    return ops.lookup_key(year_store(spark, sf_dir), "[1996]").select("ngram", "match_count", "volume_count")
+
+
+@query(f"""WITH {NY}, s AS (SELECT ngram, sum(match_count) AS m, sum(volume_count) AS v, min(year) AS a, max(year) AS b, count(*) AS n FROM ny GROUP BY 1) SELECT ngram, '[1996] ' || ngram AS key_auto, lower('000007CC' || hex(encode(ngram))) AS key_hex,
+'Total: ' || format('{{:,}}', CAST(m AS BIGINT)) || ' occurrences in ' || format('{{:,}}', CAST(v AS BIGINT)) || ' volumes (' || a || '-' || b || ', ' || n || ' years)' AS value_auto FROM s""")
+def format_pairs(spark, sf_dir) -> DataFrame:
+    wide = ops.pack_wide(ngram_year(spark, sf_dir)).withColumn("key", codec.year_key(F.lit(1996), F.col("ngram"))).withColumn("value", codec.pack_records(F.col("freqs")))
+    return wide.select("ngram", codec.format_key(F.col("key")).alias("key_auto"), codec.format_key(F.col("key"), "hex").alias("key_hex"), codec.format_value(F.col("value")).alias("value_auto"))
+
+
+@query("""SELECT p_partkey, CASE WHEN r >= 1000 THEN format('{:,}', CAST(round_even(r, 0) AS BIGINT)) WHEN r >= 10 THEN printf('%.1f', r) ELSE printf('%.2f', r) END || ' keys/sec' AS rate, printf('%.1f%%', p_size / 50.0 * 100) AS share,
+printf('%d:%02d:%02d', p_partkey // 3600, p_partkey // 60 % 60, p_partkey % 60) AS elapsed, CASE WHEN length(p_name) <= 9 THEN p_name ELSE '...' || right(p_name, 6) END AS path FROM (SELECT *, (p_partkey * 7 + 1) / 4.0::DOUBLE AS r FROM part)""")
+def format_counters(spark, sf_dir) -> DataFrame:
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        k, codec.format_rate(k * 7 + 1, F.lit(4.0), "keys").alias("rate"), codec.format_percentage(F.col("p_size"), F.lit(50)).alias("share"),
+        codec.format_elapsed(k).alias("elapsed"), codec.shorten_path(F.col("p_name"), 9).alias("path"),
+    )

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder; one of its own only where none is set."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate tables; a local session without one gets its own, a cluster has to name one."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="chronolex-"))
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not context.master.startswith("local") or not named and context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="chronolex-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

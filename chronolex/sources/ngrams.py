@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import time
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,10 @@ from pyspark.sql import functions as F
 from chronolex.functions.tokens import ngram_type
 
 # The public places and file names of the three releases.
+OBJECTS = "https://storage.googleapis.com/books/"
 BUCKET = "https://storage.googleapis.com/books/ngrams/books"
+LISTING = "https://books.storage.googleapis.com/?prefix=ngrams/books/"
+INDEX = f"{BUCKET}/datasetsv3.html"
 RELEASES = {"20200217": "v3", "20120701": "v2", "20090715": "v1"}
 
 
@@ -23,11 +29,11 @@ def location(n: int, release: str, corpus: str) -> tuple[str, str]:
         raise ValueError(f"bad release or corpus: {release!r}, {corpus!r}")
     kind = RELEASES.get(release)
     if kind == "v3":
-        return f"{BUCKET}?prefix={release}/{corpus}/{n}-", rf"^{n}-\d{{5}}-of-\d{{5}}\.gz$"
+        return f"{LISTING}{release}/{corpus}/{n}-", rf"^{n}-\d{{5}}-of-\d{{5}}\.gz$"
     if kind == "v2":
-        return f"{BUCKET}?prefix=googlebooks-{corpus}-all-{n}gram-{release}-", rf"^googlebooks-{corpus}-all-{n}gram-{release}-\w+\.gz$"
+        return INDEX, rf"^googlebooks-{corpus}-all-{n}gram-{release}-\w+\.gz$"
     if kind == "v1":
-        return f"{BUCKET}?prefix=googlebooks-{corpus}-all-{n}gram-{release}-", rf"^googlebooks-{corpus}-all-{n}gram-{release}-\d+\.csv\.zip$"
+        return INDEX, rf"^googlebooks-{corpus}-all-{n}gram-{release}-\d+\.csv\.zip$"
     raise ValueError(f"unknown release {release!r}")
 
 
@@ -35,13 +41,76 @@ def store_path(stub: str, n: int, release: str, corpus: str) -> str:
     return str(Path(stub) / release / corpus / f"{n}gram_files" / f"{n}grams.db")
 
 
-def listed_files(listings: DataFrame, pattern: str) -> DataFrame:
-    """url and filename, once each by file name, from saved listing pages (`page`): XML keys or HTML links."""
-    links = F.concat(F.regexp_extract_all("page", F.lit(r"<Key>([^<]+)</Key>"), 1), F.regexp_extract_all("page", F.lit(r'<a [^>]*href="([^"]+)"'), 1))
-    urls = listings.select(F.explode(links).alias("url")).distinct()
+def listed_files(listings: DataFrame, pattern: str, page_address: str | None = None) -> DataFrame:
+    """url and filename, once each by file name, from saved listing pages (`page`): XML keys or HTML links.
+
+    With the address of the listing, keys become addresses of the bucket's objects and links are resolved against it.
+    """
+    keys, links = F.regexp_extract_all("page", F.lit(r"<Key>([^<]+)</Key>"), 1), F.regexp_extract_all("page", F.lit(r'<a [^>]*href="([^"]+)"'), 1)
+    if page_address is not None:
+        folder, host = page_address.rsplit("/", 1)[0], "/".join(page_address.split("/")[:3])
+        full = lambda u: F.when(u.rlike("^[a-z]+://"), u).when(u.startswith("/"), F.concat(F.lit(host), u)).otherwise(F.concat(F.lit(f"{folder}/"), u))
+        keys = F.transform(keys, lambda k: F.concat(F.lit(OBJECTS), k))
+        links = F.transform(F.filter(links, lambda u: ~u.rlike(r"^(#|\?|mailto:|javascript:)")), full)
+    urls = listings.select(F.explode(F.concat(keys, links)).alias("url")).distinct()
     return urls.withColumn("filename", F.element_at(F.split("url", "/"), -1)).where(F.col("filename").rlike(pattern)).orderBy("filename", "url")
 
 
+def with_retries(get: Callable[[str], object], address: str, attempts: int = 3, delay: float = 1.0, backoff: float = 2.0, sleep=time.sleep):
+    """get(address); an OSError, which network errors are, is tried again after a growing delay, other errors fail at once."""
+    for attempt in range(1, attempts + 1):
+        try:
+            return get(address)
+        except OSError as e:
+            if attempt == attempts:
+                raise RuntimeError(f"gave up on {address} after {attempts} attempts") from e
+            sleep(delay)
+            delay *= backoff
+
+
+def listing_pages(get: Callable[[str], str], address: str, **retries) -> Iterator[str]:
+    """The pages of a listing: each truncated one names the marker from which the next goes on, else its last key does.
+
+    `get` fetches an address as text: the connector of the site, a cache, or saved pages in tests.
+    """
+    marker = None
+    while True:
+        page = with_retries(get, address if marker is None else f"{address}{'&' if '?' in address else '?'}marker={quote(marker, safe='')}", **retries)
+        yield page
+        named, keys = re.search(r"<NextMarker>([^<]+)</NextMarker>", page), re.findall(r"<Key>([^<]+)</Key>", page)
+        if "<IsTruncated>true</IsTruncated>" not in page or not (named or keys):
+            return
+        marker = named[1] if named else keys[-1]
+
+
+def list_release(spark: SparkSession, get: Callable[[str], str], n: int, release: str, corpus: str, **retries) -> DataFrame:
+    """url and filename of a release's n-gram files, from all pages of its listing."""
+    address, pattern = location(n, release, corpus)
+    pages = spark.createDataFrame([(p,) for p in listing_pages(get, address, **retries)], "page string")  # a few pages of a thousand names
+    return listed_files(pages, pattern, address)
+
+
+def download(files: DataFrame, get: Callable[[str], bytes], save: Callable[[str, bytes], None], **retries) -> DataFrame:
+    """url, bytes and error (null if it went well) of each file, fetched by the tasks through `get` and handed to `save` with its name.
+
+    A file that fails is reported, not raised, so the others go on.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for url, name in zip(pdf["url"], pdf["filename"], strict=True):
+                try:
+                    data = with_retries(get, url, **retries)
+                    save(name, data)
+                    rows.append((url, len(data), None))
+                except Exception as e:  # noqa: BLE001  the report names it
+                    rows.append((url, 0, f"{type(e).__name__}: {e}"))
+            yield type(pdf)(rows, columns=["url", "bytes", "error"])
+
+    return files.select("url", "filename").mapInPandas(run, "url string, bytes long, error string")
+
+
 def next_marker(page: Column) -> Column:
     """Where the next listing page begins, null on the last: its marker, else its last key."""
     marker = F.regexp_extract(page, r"<NextMarker>([^<]+)</NextMarker>", 1)
@@ -66,7 +135,7 @@ def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def shuffled(files: DataFrame, seed: int) -> DataFrame:
-    return files.orderBy(F.xxhash64(F.lit(seed), "filename"), "filename")
+    return files.orderBy(F.md5(F.concat(F.lit(f"{seed}/"), "filename").cast("binary")), "filename")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

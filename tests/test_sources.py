@@ -16,9 +16,10 @@ def test_lines(spark):
 
 
 def test_location():
-    assert src.location(1, "20200217", "eng")[1] == r"^1-\d{5}-of-\d{5}\.gz$"
-    assert "googlebooks-eng-all-2gram-20120701" in src.location(2, "20120701", "eng")[1]
-    assert src.location(2, "20090715", "eng")[1].endswith(r"\.csv\.zip$")
+    assert src.location(1, "20200217", "eng") == ("https://books.storage.googleapis.com/?prefix=ngrams/books/20200217/eng/1-", r"^1-\d{5}-of-\d{5}\.gz$")
+    index = "https://storage.googleapis.com/books/ngrams/books/datasetsv3.html"
+    assert src.location(2, "20120701", "eng") == (index, r"^googlebooks-eng-all-2gram-20120701-\w+\.gz$")
+    assert src.location(5, "20090715", "eng-us") == (index, r"^googlebooks-eng-us-all-5gram-20090715-\d+\.csv\.zip$")
     for bad in ((6, "20200217", "eng"), (1, "2020", "eng"), (1, "20200217", "e/g"), (1, "20210101", "eng")):
         with pytest.raises(ValueError):
             src.location(*bad)
@@ -59,7 +60,131 @@ def test_ingest_ledger(spark, tmp_path):
     args = (spark, files, read, str(tmp_path / "table"), str(tmp_path / "ledger"))
     assert stages.ingest(*args) == 2
     assert stages.ingest(*args) == 0
-    assert spark.read.parquet(str(tmp_path / "table")).count() == 1
+    assert stages.taken_in(spark, *args[3:]).count() == 1
+    assert [r["file"] for r in stages.taken_files(spark, args[4]).collect()] == ["0.gz", "1.gz"]
+
+
+def test_an_intake_that_breaks_off_is_taken_again(spark, tmp_path):
+    table, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+    files = lambda *names: spark.createDataFrame([(n, n) for n in names], "url string, filename string")
+    read = lambda names: spark.createDataFrame([(n,) for n in names], "ngram string")
+    assert stages.ingest(spark, files("a"), read, table, ledger) == 1
+    read(["b"]).write.parquet(f"{table}/intake=2")  # rows without their ledger entry
+    assert [r[0] for r in stages.taken_in(spark, table, ledger).collect()] == ["a"]
+    assert stages.ingest(spark, files("a", "b", "c"), read, table, ledger) == 2
+    assert sorted(r[0] for r in stages.taken_in(spark, table, ledger).collect()) == ["a", "b", "c"]
+
+
+def test_lister_follows_markers_and_tries_again(spark):
+    address = src.location(1, "20200217", "eng")[0]
+    pages = {
+        address: "<IsTruncated>true</IsTruncated><Key>ngrams/books/20200217/eng/1-00001-of-00002.gz</Key>",
+        f"{address}&marker=ngrams%2Fbooks%2F20200217%2Feng%2F1-00001-of-00002.gz": "<Key>ngrams/books/20200217/eng/1-00000-of-00002.gz</Key><Key>x/readme</Key>",
+    }
+    tried, slept = [], []
+
+    def get(a):
+        tried.append(a)
+        if len(tried) in (1, 2, 4):
+            raise ConnectionError("later")
+        return pages[a]
+
+    files = src.list_release(spark, get, 1, "20200217", "eng", sleep=slept.append).collect()
+    assert [r["filename"] for r in files] == ["1-00000-of-00002.gz", "1-00001-of-00002.gz"] and slept == [1.0, 2.0, 1.0]
+    assert files[0]["url"] == "https://storage.googleapis.com/books/ngrams/books/20200217/eng/1-00000-of-00002.gz"
+    with pytest.raises(RuntimeError, match="3 attempts"):
+        src.with_retries(lambda a: (_ for _ in ()).throw(OSError("no")), "x", sleep=lambda s: None)
+    with pytest.raises(ValueError):
+        src.with_retries(lambda a: int("x"), "x")
+    page = spark.createDataFrame([('<a href="/b/1-2.gz"><a href="1-1.gz"><a href="#top"><a href="https://y/1-3.gz">',)], "page string")
+    assert [r["url"] for r in src.listed_files(page, r"\.gz$", "https://h/a/i.html").collect()] == ["https://h/a/1-1.gz", "https://h/b/1-2.gz", "https://y/1-3.gz"]
+
+
+def test_download_reports_failures(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def get(url):
+        if url == "bad":
+            raise TimeoutError("slow")
+        return url.encode() * 3
+
+    def save(name, data):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+
+    files = spark.createDataFrame([("u1", "a"), ("bad", "b")], "url string, filename string")
+    rows = {r["url"]: r for r in src.download(files, get, save, attempts=2, delay=0.0).collect()}
+    assert rows["u1"]["bytes"] == 6 and rows["u1"]["error"] is None and "2 attempts" in rows["bad"]["error"]
+    assert (tmp_path / "a").read_bytes() == b"u1u1u1"
+
+
+def test_gzip_lines_become_a_year_store(spark, tmp_path):
+    with gzip.open(tmp_path / "1.gz", "wb") as f:
+        f.write(b"a_NOUN\t2000,1,1\t2001,2,2\n\xff\t2000,1,1\nb\t2001,5,1\n")
+    from chronolex.operators import ngrams as ops
+
+    long = ops.pivot_long(src.parse_lines(src.read_lines(spark, str(tmp_path / "1.gz"))))
+    store = stages.run_stage(spark, lambda: long, str(tmp_path / "store"), partition_by="year")
+    plan = ops.year_scan(store, 2001)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and ops.year_scan(store, 2001).count() == 2
+    assert ops.lookup_key(store, "[2001] b").first()["match_count"] == 5 and ops.lookup_key(store, "[2000]").count() == 1
+    assert ops.is_empty(store, "c") and not ops.is_empty(store, "a", "b")
+
+
+def test_queries_scan_the_year_store(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    for name in ("year_scan", "year_range_scan", "point_lookup"):
+        assert "PartitionFilters: [isnotnull(year" in entry.queries()[name](spark, sf_dir)._jdf.queryExecution().toString()
+
+
+def test_open_modes_shards_and_archives(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        stages.open_table(spark, path)
+    assert stages.open_table(spark, path, "rw") is None
+    rows = spark.createDataFrame([("a", 2000, 1, 1)], "ngram string, year int, match_count long, volume_count long")
+    rows.write.parquet(path)
+    rows.write.parquet(path + "2")
+    assert stages.open_table(spark, path).count() == 1
+    assert stages.joined_shards(spark, [path, path + "2"]).first()["match_count"] == 2
+    (tmp_path / "t2" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="not written whole"):
+        stages.joined_shards(spark, [path, path + "2"])
+    stages.archive(spark, path, str(tmp_path / "kept"))
+    assert any(".zstd." in p.name for p in (tmp_path / "kept").iterdir())
+    assert stages.restore(spark, str(tmp_path / "kept"), str(tmp_path / "back")).collect() == rows.collect()
+    assert stages.archive_path("/cold", "/hot/2020/eng/1", "/hot/") == "/cold/2020/eng/1"
+    stages.compact(rows.unionByName(rows), str(tmp_path / "small"))
+    assert spark.read.parquet(str(tmp_path / "small")).count() == 2
+    assert stages.open_table(spark, path, "w") is None and not stages.exists(spark, path)
+    for bad in (lambda: stages.open_table(spark, path, "x"), lambda: stages.archive_path("/cold", "/elsewhere/x", "/hot")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_plans_survive_reprocess_only(spark, tmp_path):
+    plan = str(tmp_path / "plans" / "u4.json")
+    build = lambda: spark.createDataFrame([("a",)], "ngram string")
+    stages.save_plan(plan, {"parts": 4, "bounds": ["40"]})
+    assert stages.load_plan(plan) == {"parts": 4, "bounds": ["40"]} and stages.plans(str(tmp_path / "plans")) == ["u4"]
+    stages.run_stage(spark, build, str(tmp_path / "s"), "reprocess", plan=plan)
+    assert stages.load_plan(plan)
+    stages.run_stage(spark, build, str(tmp_path / "s"), "restart", plan=plan)
+    assert stages.load_plan(plan) is None and stages.clear_plans(str(tmp_path / "plans")) == 0
+
+
+def test_year_files_and_sentences(spark, tmp_path):
+    for year, lines in ((1990, '{"ngram": "a b", "freq": 3, "doc": 2}\n{"ngram": "c"}\n'), (1991, '{"freq": 5}\n')):
+        with gzip.open(tmp_path / f"{year}.jsonl.gz", "wt") as f:
+            f.write(lines)
+    from chronolex.operators import ngrams as ops
+
+    stats = {r["year"]: tuple(r)[1:] for r in ops.corpus_stats(src.year_corpus(spark, str(tmp_path / "*.gz"))).collect()}
+    assert stats == {1990: (2, 3, 2), 1991: (1, 5, 0)}
+    tokens = spark.createDataFrame([(["a", "b"], 2)], "tokens array<string>, weight long")
+    stages.write_sentences(ops.repeated(tokens), str(tmp_path / "s"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "s")).collect()] == ["a b", "a b"]
 
 
 def test_invalid_utf8_lines_are_left_out(spark, tmp_path):
