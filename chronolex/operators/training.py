@@ -97,10 +97,18 @@ def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarr
     inner = ((rng.random((vocabulary, size)) - 0.5) / size).astype(np.float32)
     outer = np.zeros((vocabulary, size), np.float32)
     noise = np.cumsum(counts**0.75)
-    pairs = [(s[i], s[j], w) for s, w in zip(sentences, weights, strict=True) for i in range(len(s)) for j in range(max(0, i - window), min(len(s), i + window + 1)) if i != j]
-    if not pairs:
+    lengths = np.array([len(s) for s in sentences], int)
+    flat = np.concatenate([*sentences, np.zeros(0, int)]).astype(int)
+    owner = np.repeat(np.arange(len(sentences)), lengths)
+    centre, context, weight = [], [], []
+    for d in range(1, min(window, int(lengths.max(initial=0)) - 1) + 1):  # words d places apart in a sentence, both ways
+        i = np.flatnonzero(owner[d:] == owner[:-d])
+        centre += [flat[i], flat[i + d]]
+        context += [flat[i + d], flat[i]]
+        weight += [weights[owner[i]]] * 2
+    if not sum(map(len, centre)):
         return inner
-    centre, context, weight = (np.array(x) for x in zip(*pairs, strict=True))
+    centre, context, weight = (np.concatenate(x) for x in (centre, context, weight))
     if not skip_gram:  # the context word predicts the centre
         centre, context = context, centre
     weight = weight / weight.mean()

@@ -116,12 +116,12 @@ def sql_cos(a: str, b: str) -> str:
     return f"({sql_dot(a, b)} / (sqrt({sql_dot(a, a)}) * sqrt({sql_dot(b, b)})))"
 
 
-def event_series(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
-    """Mean value of the purchases, days of the month as years; with gaps without every fourth day, as the SQL has it."""
+def event_series(spark: SparkSession, sf_dir: str, hours: bool = False) -> DataFrame:
+    """Mean value of the purchases, with days of the month as years; with hours, the hours of the month, of which some have none."""
     rows = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    if gaps:
-        rows = rows.where(F.dayofmonth("ts") % 4 != 2)
-    return rows.groupBy(F.dayofmonth("ts").alias("year")).agg(F.round(F.avg("value"), 6).alias("value"))
+    at = F.dayofmonth("ts") if not hours else (F.dayofmonth("ts") - 1) * 24 + F.hour("ts") + 1
+    return rows.groupBy(at.cast("int").alias("year")).agg(F.round(F.avg("value"), 6).alias("value"))
 
 
-ES = "es AS (SELECT CAST(day(ts) AS INTEGER) AS year, round(avg(value), 6) AS value FROM events WHERE event_type = 'purchase' AND day(ts) % 4 <> 2 GROUP BY 1)"
+ES = "es AS (SELECT CAST(day(ts) AS INTEGER) AS year, round(avg(value), 6) AS value FROM events WHERE event_type = 'purchase' GROUP BY 1)"
+EH = "es AS (SELECT CAST((day(ts) - 1) * 24 + hour(ts) + 1 AS INTEGER) AS year, round(avg(value), 6) AS value FROM events WHERE event_type = 'purchase' GROUP BY 1)"

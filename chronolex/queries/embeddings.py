@@ -11,7 +11,7 @@ from chronolex.operators import ngrams as ops
 from chronolex.operators import regression as reg
 from chronolex.operators import series as ser
 from chronolex.operators import training
-from chronolex.queries.base import ES, EY, embeddings_year, event_series, ngram_year, query, sql_cos, sql_dot, table
+from chronolex.queries.base import EH, ES, EY, embeddings_year, event_series, ngram_year, query, sql_cos, sql_dot, table
 
 _PREV = "yr AS (SELECT DISTINCT year FROM ey), pr AS (SELECT year, lag(year) OVER (ORDER BY year) AS other FROM yr)"
 _SIM = f"{EY}, {_PREV}, sim AS (SELECT a.year, p.other, avg(s) AS mean, stddev_pop(s) AS std, CAST(count(*) AS BIGINT) AS shared FROM (SELECT a.year, p.other, {sql_dot('a.v', 'b.v')} AS s FROM pr p JOIN ey a ON a.year = p.year JOIN ey b ON b.year = p.other AND a.word = b.word) a JOIN pr p USING (year) GROUP BY 1, 2)"
@@ -103,13 +103,17 @@ def drift_residual(spark, sf_dir) -> DataFrame:
     return ser.residual(ser.yearly_drift(embeddings_year(spark, sf_dir)), x).select("year", F.round("adjusted", 6).alias("adjusted"))
 
 
-_INTERP = f"""{ES}, spine AS (SELECT CAST(unnest(range(1, 31)) AS INTEGER) AS year), it AS (SELECT s.year, coalesce(e.value, CASE WHEN p.year IS NULL THEN n.value WHEN n.year IS NULL THEN p.value ELSE p.value + (n.value - p.value) * (s.year - p.year) / (n.year - p.year) END) AS value
+def _interpolated(series: str, last: int) -> str:
+    return f"""{series}, spine AS (SELECT CAST(unnest(range(1, {last + 1})) AS INTEGER) AS year), it AS (SELECT s.year, coalesce(e.value, CASE WHEN p.year IS NULL THEN n.value WHEN n.year IS NULL THEN p.value ELSE p.value + (n.value - p.value) * (s.year - p.year) / (n.year - p.year) END) AS value
 FROM spine s LEFT JOIN es e ON e.year = s.year LEFT JOIN es p ON p.year = (SELECT max(year) FROM es WHERE year <= s.year) LEFT JOIN es n ON n.year = (SELECT min(year) FROM es WHERE year >= s.year))"""
 
 
+_INTERP = _interpolated(EH, 744)
+
+
 @query(f"WITH {_INTERP} SELECT year, round(value, 6) AS value FROM it")
 def interp_series(spark, sf_dir) -> DataFrame:
-    return ser.interpolated(event_series(spark, sf_dir), 1, 30).select("year", F.round("value", 6).alias("value"))
+    return ser.interpolated(event_series(spark, sf_dir, hours=True), 1, 744).select("year", F.round("value", 6).alias("value"))
 
 
 @query(f"WITH {ES}, r AS (SELECT *, (row_number() OVER (ORDER BY year) - 1) // 4 AS chunk FROM es) SELECT CAST(chunk AS BIGINT) AS chunk, round(avg(year), 6) AS year, round(avg(value), 6) AS value FROM r GROUP BY 1")
@@ -124,17 +128,17 @@ _K = ", ".join(f"({o - 8}, {w!r})" for o, w in enumerate(ser.gaussian_kernel(2.0
 m AS (SELECT r.year, w, ((i + o) % (2 * n) + 2 * n) % (2 * n) AS j, n FROM r, k), q AS (SELECT year, w, CASE WHEN j >= n THEN 2 * n - 1 - j ELSE j END AS j FROM m)
 SELECT q.year, round(sum(q.w * r.value), 6) AS value FROM q JOIN r ON r.i = q.j GROUP BY 1""")
 def gaussian_smooth(spark, sf_dir) -> DataFrame:
-    return ser.gaussian_smooth(ser.interpolated(event_series(spark, sf_dir), 1, 30), 2.0).select("year", F.round("value", 6).alias("value"))
+    return ser.gaussian_smooth(ser.interpolated(event_series(spark, sf_dir, hours=True), 1, 744), 2.0).select("year", F.round("value", 6).alias("value"))
 
 
-_ALL = _INTERP.replace(" AND day(ts) % 4 <> 2", "").replace("range(1, 31)", "range(1, 32)")
+_ALL = _interpolated(ES, 31)
 _SG = ", ".join(f"({at}, {o}, {w!r}::DOUBLE)" for at in range(11) for o, w in enumerate(ser.savgol_weights(11, 3, at, 1.0).tolist()))
 
 
 @query(f"""WITH {_ALL}, r AS (SELECT year, value, row_number() OVER (ORDER BY year) - 1 AS i, count(*) OVER () AS n FROM it), w(place, o, w) AS (VALUES {_SG}),
 s AS (SELECT year, i, greatest(0, least(i - 5, n - 11)) AS start FROM r) SELECT CAST(s.year AS DOUBLE) AS year, round(sum(w.w * r.value), 6) AS derivative FROM s JOIN w ON w.place = s.i - s.start JOIN r ON r.i = s.start + w.o GROUP BY 1""")
 def savgol_derivative(spark, sf_dir) -> DataFrame:
-    out = ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir, gaps=False), 1, 31))
+    out = ser.savgol_derivative(ser.interpolated(event_series(spark, sf_dir), 1, 31))
     return out.select("year", F.round("derivative", 6).alias("derivative"))
 
 

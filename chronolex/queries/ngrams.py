@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronolex.functions import codec, tokens
 from chronolex.operators import ngrams as ops
 from chronolex.operators import progress
-from chronolex.queries.base import DN, NY, STOP, YEARS, doc_bigrams, ngram_year, query, sql_accepted, sql_normalised, sql_tokens, table, year_store
+from chronolex.queries.base import DN, NY, ORACLE_SQL, STOP, YEARS, doc_bigrams, ngram_year, query, sql_accepted, sql_normalised, sql_tokens, table, year_store
+from chronolex.session import shared_folder
 from chronolex.sources import ngrams as src
 
 RULES = tokens.TokenRules(stop_words=STOP)
@@ -43,6 +46,14 @@ def parse_raw_lines(spark, sf_dir) -> DataFrame:
     return ops.pivot_long(src.parse_lines(raw_lines(spark, sf_dir)))
 
 
+@query(ORACLE_SQL["parse_raw_lines"])
+def gzip_lines(spark, sf_dir) -> DataFrame:
+    """The same lines from gzip files in the shared folder."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-lines-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    raw_lines(spark, sf_dir).write.mode("overwrite").option("compression", "gzip").text(path)
+    return ops.pivot_long(src.parse_lines(src.read_lines(spark, path)))
+
+
 def _typed(kind):
     def run(spark, sf_dir) -> DataFrame:
         return doc_bigrams(spark, sf_dir).where(tokens.ngram_type(F.col("ngram"), kind)).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
