@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import gc
-import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolex.session import shared_folder
+
 #: ASCII white space of the contracts: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows that one Arrow batch may hold, so that a batch of long texts stays in memory.
-ARROW_ROWS = "512"
-
-_serial = itertools.count()
+#: Rows and bytes that one Arrow batch may hold, so that a batch of long texts stays in memory and one of numbers is no small change.
+ARROW_ROWS, ARROW_BYTES = 8192, 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,27 +22,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by rows; texts vary from one word to megabytes."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > int(ARROW_ROWS):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-
-
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the cluster's shared folder; sets one of its own only where none is configured (tests)."""
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared:
-        import tempfile
-
-        shared = tempfile.mkdtemp(prefix="chronolex-checkpoint-")
-    spark.sparkContext.setCheckpointDir(shared)
+    """Bounds Arrow batches by rows and bytes; texts vary from one word to megabytes."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage through a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,22 +1,20 @@
 """N-gram Jaccard join as a metric-space join, exact.
 
-A document is the set of its word shingles; 1 - Jaccard is a metric on sets. Texts that share nothing are all at
-distance 1, so whole documents as the only pivots would not tell regions apart. The first level therefore takes single shingles as
-pivots: a set x is at distance 1 - 1/|x| from each of its shingles and at distance 1 from all others, so its Voronoi region is
-that of its first shingle in a global order. Within the threshold's radius a partner misses few enough of x's
-shingles that it must share one of the first |x| - ceil(t|x|) + 1; this is the window over whose regions x is replicated.
-
-Regions join recursively:
-
-1. A region of more than REGION sets is dissolved: its pivot moves to the end of the order, and the sets that met in it
-   go on to their next pivots. Shingles that are frequent within chunks of documents move before the first windows are taken,
-   others after an exact count of the regions. A fixed-size bitmap says which pivots moved; a false hit moves one more, which
-   any order allows.
-2. A region that stays small compares its sets pairwise, pruned by size and by the lower bound that counts in cells of the
-   shingle space give for the symmetric difference, itself a metric.
-3. A region that stays large is a cloud of near copies. Its smallest set becomes a document pivot; every member's distance to
-   it is found, members within the radius are linked, and by the triangle inequality a member can only link to those whose distance
-   from the pivot differs by the radius at most. Members outside the largest component meet the others in blocks of BLOCK sets.
+A document is the set of its word shingles; 1 - Jaccard is a metric on sets, and so is the size of the symmetric difference.
+Texts that share nothing are all at distance 1, so whole documents alone as pivots would put every document into every window. The join
+therefore has two kinds of pivots:
+
+1. Single shingles, the smallest points of the space. A set x is at distance 1 - 1/|x| from each of its shingles and at distance
+   1 from all others; ties are broken by a global order, frequent shingles last. Within the threshold's radius a partner misses few enough of
+   x's shingles that the first shingle they share is among the first |x| - ceil(t|x|) + 1 of both: the window over whose regions
+   x is replicated. A region of at most REGION sets compares their sizes and the places of the shared pivot. A larger region is
+   dissolved: its pivot moves to the end of the order, and sets that it concerns meet again at their next pivots.
+2. Documents, for regions whose pivot has moved: clouds of near copies, and texts made of passages that many share. Every region
+   draws PIVOTS of its members. All members find their distances from these in the space of cell counts, a metric that
+   bounds the symmetric difference from below. Each member is tested against the NEAREST pivots by whole sets. What that leaves
+   outside a region's main component lies in the Voronoi cell of its nearest pivot and, by the triangle inequality, can only have partners in
+   cells whose pivot is at most twice the radius farther away: it is replicated to these. Cells with much left are
+   joined the same way, by pivots of their own, LEVELS times at most; then blocks of BLOCK sets meet, pruned by their distances from all pivots.
 
 Every link is verified on the whole sets. Sets are 64-bit fingerprints of shingles.
 """
@@ -28,8 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolex.llm.common import cut, documents, few, small_batches, sweep
@@ -37,20 +34,26 @@ from chronolex.llm.graph import components
 from chronolex.llm.shingles import sets
 
 REGION = 64
-#: Times that regions are dissolved after an exact count; what is then still large is joined as a cloud.
-ROUNDS = 1
 #: Shingles of a chunk of documents that are counted together, and sets of it that must share one for it to count as frequent.
-CHUNK_SHINGLES = 1 << 20
-CHUNK_SHARED = 3
+CHUNK_SHINGLES = 1 << 21
+CHUNK_SHARED = 2
+#: Rows of regions that are compared at a time.
+MEET_ROWS = 1 << 16
 CELLS = 64
+#: Documents of a region that are its pivots, the nearest of them that a member is tested against, and times that Voronoi cells are dealt.
+PIVOTS = 8
+NEAREST = 3
+LEVELS = 3
+#: Share of the comparisons that dealing a region by Voronoi cells may leave at most; else it meets in blocks as it is.
+GAIN = 0.6
 BLOCK = 1024
-#: Parts that the members of a cloud are dealt into where they meet what is known of the cloud.
+#: Parts that the members of a region are dealt into where they meet its pivots.
 SALTS = 16
-#: Nearest members of other components that a query of a cloud is tested against in each pass; the last pass tests all that are left.
-PASSES = (4, 64, None)
+#: Nearest members of other components that a query is tested against in each pass; the last pass tests all that are left.
+PASSES = (8, None)
 #: Sizes of the bitmaps that are broadcast, in bits, whatever the input.
-MOVED_BITS = 1 << 20
-SHARED_BITS = 1 << 25
+MOVED_BITS = 1 << 23
+NEXT_BITS = 1 << 25
 NEEDED_BITS = 1 << 23
 
 
@@ -76,6 +79,19 @@ def bitmap(df: DataFrame, value: str, bits: int) -> np.ndarray:
     return out
 
 
+def moved_bits(counts: DataFrame) -> np.ndarray:
+    """Bitmap of the pivots whose count is above half of REGION; of the most frequent ones alone where the bitmap would fill up."""
+    often = counts.where(F.col("c") > REGION // 2)
+    by_power = often.groupBy(F.floor(F.log2("c")).alias("power")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("power")).collect()  # one row a power of two
+    room, least = MOVED_BITS // 8, None
+    for power, n in by_power:
+        room -= n
+        if room < 0:
+            least = 1 << power + 1
+            break
+    return bitmap(often if least is None else often.where(F.col("c") >= least), "pivot", MOVED_BITS)
+
+
 def has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = values.view(np.uint64) & np.uint64(len(bits) * 8 - 1)  # the number of bits is a power of two
     return bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1 == 1
@@ -101,6 +117,11 @@ def apart(x: bytes, y: bytes) -> int:
     return int(np.abs(fold(a, k) - fold(b, k)).sum())
 
 
+def coarse(rows: list[bytes]) -> np.ndarray:
+    """Cells of all sets at the same resolution, CELLS parts: L1 distances between them are a metric."""
+    return np.stack([fold(np.frombuffer(c, np.uint8), CELLS) for c in rows]) if rows else np.zeros((0, CELLS), np.int64)
+
+
 def first_pivots(s: np.ndarray, moved: np.ndarray, num: int, den: int) -> np.ndarray:
     """The window of a sorted set in the order: pivots that did not move, by fingerprint, then those that did."""
     k = window(len(s), num, den)
@@ -108,225 +129,170 @@ def first_pivots(s: np.ndarray, moved: np.ndarray, num: int, den: int) -> np.nda
     return np.concatenate([s[~hit], s[hit]])[:k] if hit[: k + 1].any() else s[:k]
 
 
-def longs(rows: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int32)), pa.array(flat))
-
-
 def signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def frequent(df: DataFrame, words: int) -> DataFrame:
-    """pivot and c: shingles that CHUNK_SHARED different sets of a chunk share, with the sum of these counts over all chunks."""
+def digest(s: np.ndarray, seed: int) -> tuple[int, int]:
+    """(key, check) of a set."""
+    h = xxhash.xxh3_128_intdigest(s.tobytes(), seed)
+    return signed(h & (1 << 64) - 1), signed(h >> 64)
+
+
+def survey(df: DataFrame, words: int, seed: int) -> DataFrame:
+    """One pass over the texts with two kinds of rows: id, n, key, check and cells of every document, and pivot and c of frequent shingles.
 
-    def count(held: list[np.ndarray]) -> pa.RecordBatch:
+    Cells come with the first document of a key in its task. A shingle is frequent that CHUNK_SHARED different sets of a chunk share; c is their number.
+    """
+    id_type = df.schema["id"].dataType.simpleString()
+    names = ["id", "n", "key", "check", "cells", "pivot", "c"]
+
+    def count(held: list[np.ndarray], ids: pa.DataType) -> pa.RecordBatch:
         values, times = np.unique(np.concatenate(held), return_counts=True)
         ok = times >= CHUNK_SHARED
-        return pa.RecordBatch.from_arrays([pa.array(values[ok]), pa.array(times[ok])], ["pivot", "c"])
+        none = lambda kind: pa.nulls(int(ok.sum()), kind)
+        return pa.RecordBatch.from_arrays([none(ids), none(pa.int32()), none(pa.int64()), none(pa.int64()), none(pa.binary()), pa.array(values[ok]), pa.array(times[ok])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+        known: set[int] = set()
+        held, size, kind = [], 0, None
         for b in batches:
+            kind = b.column("id").type
+            n, keys, checks, parts = [], [], [], []
             for s in sets(b.column("text").to_pylist(), words):
-                mark = xxhash.xxh3_64_intdigest(s.tobytes())
-                if mark not in seen and len(s):
-                    seen.add(mark)
+                key, check = digest(s, seed)
+                fresh = key not in known and len(s) > 0
+                n.append(len(s))
+                keys.append(key)
+                checks.append(check)
+                parts.append(cells(s) if fresh else None)
+                if fresh:
+                    known.add(key)
                     held.append(s)
                     size += len(s)
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), pa.array(parts, pa.binary()), none, none], names)
             if size >= CHUNK_SHINGLES:
-                yield count(held)
-                held, size, seen = [], 0, set()
+                yield count(held, kind)
+                held, size = [], 0
         if held:
-            yield count(held)
+            yield count(held, kind)
 
-    return df.select("text").mapInArrow(run, "pivot long, c long").groupBy("pivot").agg(F.sum("c").alias("c"))
+    return df.mapInArrow(run, f"id {id_type}, n int, key long, check long, cells binary, pivot long, c long")
 
 
-def digests(df: DataFrame, moved, words: int, num: int, den: int, seed: int) -> DataFrame:
-    """id, n, key, check of every document, and window and cells of the first one with that key in its task."""
+def region_rows(df: DataFrame, moved, only, words: int, num: int, den: int, seed: int) -> DataFrame:
+    """pivot, key, n and place (in the order) for every pivot of a set's window; n is 0 where the pivot has moved.
+
+    With `only`, a bitmap, just the rows of pivots that it has or that have moved.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        known: set[int] = set()
         for b in batches:
-            n, key, check, firsts, parts = [], [], [], [], []
+            rows: list[tuple] = []
             for s in sets(b.column("text").to_pylist(), words):
-                h = xxhash.xxh3_128_intdigest(s.tobytes(), seed)
-                k = signed(h & (1 << 64) - 1)
-                fresh = k not in seen and len(s) > 0
-                seen.add(k)
-                n.append(len(s))
-                key.append(k)
-                check.append(signed(h >> 64))
-                firsts.append(first_pivots(s, moved.value, num, den) if fresh else s[:0])
-                parts.append(cells(s) if fresh else None)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(key, pa.int64()), pa.array(check, pa.int64()), longs(firsts), pa.array(parts, pa.binary())], ["id", "n", "key", "check", "window", "cells"])
-
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, n int, key long, check long, window array<long>, cells binary")
+                key = digest(s, seed)[0]
+                if not len(s) or key in known:
+                    continue
+                known.add(key)
+                w = first_pivots(s, moved.value, num, den)
+                cloud = has(moved.value, w)
+                at = np.flatnonzero(cloud | has(only.value, w)) if only is not None else np.arange(len(w))
+                rows.append((w[at], np.full(len(at), key), np.where(cloud[at], 0, len(s)).astype(np.int32), at.astype(np.int32)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], ["pivot", "key", "n", "place"])
 
+    return df.select("text").mapInArrow(run, "pivot long, key long, n int, place int")
 
-def moved_windows(df: DataFrame, before, after, words: int, num: int, den: int, seed: int) -> DataFrame:
-    """Key, n, window and cells of each set whose window has a pivot that moved since: the window in the new order.
 
-    A set without one keeps its window: what comes first in it stays first.
-    """
+def next_pivots(df: DataFrame, before, after, words: int, num: int, den: int) -> DataFrame:
+    """pivot: what did not move of the new windows of sets that had a pivot in their window that moved since."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = after.value & ~before.value
-        seen: set[int] = set()
         for b in batches:
-            n, key, firsts, parts = [], [], [], []
+            rows = []
             for s in sets(b.column("text").to_pylist(), words):
                 if len(s) and has(new, first_pivots(s, before.value, num, den)).any():
-                    h = signed(xxhash.xxh3_128_intdigest(s.tobytes(), seed) & (1 << 64) - 1)
-                    if h not in seen:
-                        seen.add(h)
-                        n.append(len(s))
-                        key.append(h)
-                        firsts.append(first_pivots(s, after.value, num, den))
-                        parts.append(cells(s))
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(key, pa.int64()), longs(firsts), pa.array(parts, pa.binary())], ["n", "key", "window", "cells"])
-
-    out = df.select("text").mapInArrow(run, "n int, key long, window array<long>, cells binary")
-    return cut(out.groupBy("key").agg(F.first("n").alias("n"), F.first("window").alias("window"), F.first("cells").alias("cells")))
+                    w = first_pivots(s, after.value, num, den)
+                    rows.append(w[~has(after.value, w)])
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(rows)))], ["pivot"])
 
+    return df.select("text").mapInArrow(run, "pivot long")
 
-def unmoved(nodes: DataFrame, before, after) -> DataFrame:
-    """The nodes whose window has no pivot that moved since."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = after.value & ~before.value
-        for b in batches:
-            lists = b.column("window")
-            hit = np.r_[0, np.cumsum(has(new, np.asarray(lists.values)))]
-            ends = np.asarray(lists.offsets)
-            yield b.filter(pa.array(hit[ends[1:]] == hit[ends[:-1]]))
+PAIR, CLOUD, LARGE = 0, 1, 2
 
-    return nodes.mapInArrow(run, nodes.schema)
 
+def meetings(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """What region_rows gives for regions: (PAIR, a, b) of keys that sizes and places do not rule out, (CLOUD, pivot, key) of moved
+    pivots, and (LARGE, pivot, key) of regions with more than REGION sets.
 
-def met_twice(nodes: DataFrame) -> np.ndarray:
-    """Bitmap of the places (pivot mod SHARED_BITS) that two windows or more have: a filter before pivots are counted exactly.
-
-    A task packs what it saw once and twice into two bits a place, in compressed blocks; blocks are merged in two levels, so
-    that the rows of one merge stay few. A full bitmap lets everything through to the exact count.
+    If x and y are linked and share a pivot first at places i and j, they share no more than 1 + min(|x| - i, |y| - j) - 1 shingles.
+    Rows of moved pivots are spread over all tasks; those of others lie sorted, and no more than MEET_ROWS and a region's rest are held.
     """
-    block = 1 << 15
-
-    def packed(block_: int, once: np.ndarray, twice: np.ndarray) -> tuple[int, bytes]:
-        return block_, zstandard.compress(np.packbits(once).tobytes() + np.packbits(twice).tobytes(), 1)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SHARED_BITS, np.uint8)
-        for b in batches:
-            place, count = np.unique(np.asarray(b.column("window").flatten()).view(np.uint64) & np.uint64(SHARED_BITS - 1), return_counts=True)
-            place = place.astype(np.int64)
-            seen[place] = np.minimum(seen[place] + np.minimum(count, 2), 2)
-        rows = seen.reshape(-1, block)
-        out = [packed(int(i), rows[i] > 0, rows[i] > 1) for i in np.flatnonzero(rows.any(axis=1))]
-        del seen, rows
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int32()), pa.array([d for _, d in out], pa.binary())], ["block", "data"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        once = twice = np.zeros(block // 8, np.uint8)
-        for d in table["data"].to_pylist():
-            both = np.frombuffer(zstandard.decompress(d), np.uint8)
-            twice = twice | both[block // 8 :] | (once & both[: block // 8])
-            once = once | both[: block // 8]
-        return pa.table({"block": table["block"][:1], "data": pa.array([zstandard.compress(once.tobytes() + twice.tobytes(), 1)], pa.binary())})
-
-    rows = nodes.select("window").mapInArrow(gather, "block int, data binary").withColumn("part", F.spark_partition_id() % 64)
-    merged = rows.groupBy("block", "part").applyInArrow(lambda table: merge(table), "block int, data binary")
-    merged = merged.groupBy("block").applyInArrow(merge, "block int, data binary")
-    out = np.zeros(SHARED_BITS // 8, np.uint8)
-    for r in merged.toLocalIterator():  # SHARED_BITS / 8 bytes in all
-        out[r[0] * (block // 8) : (r[0] + 1) * (block // 8)] = np.frombuffer(zstandard.decompress(r[1]), np.uint8)[block // 8 :]
-    return out
-
-
-def region_rows(nodes: DataFrame, keep, drop, bare: bool = False) -> DataFrame:
-    """pivot (with bare alone), key, n, cells for every pivot of a node's window with its bit set in keep and not in drop."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column("window")
-            pivots, ends = np.asarray(lists.values), np.asarray(lists.offsets)
-            ok = has(keep.value, pivots)
-            if drop is not None:
-                ok &= ~has(drop.value, pivots)
-            at = np.flatnonzero(ok)
-            if bare:
-                yield pa.RecordBatch.from_arrays([pa.array(pivots[at])], ["pivot"])
-                continue
-            owner = pa.array(np.searchsorted(ends, at, side="right") - 1)
-            coarse = pa.array([np.minimum(fold(np.frombuffer(c, np.uint8), CELLS), 255).astype(np.uint8).tobytes() for c in b.column("cells").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(pivots[at]), *[c.take(owner) for c in (b.column("key"), b.column("n"), coarse)]], ["pivot", "key", "n", "cells"])
-
-    columns = ["window"] if bare else ["key", "n", "window", "cells"]
-    return nodes.select(*columns).mapInArrow(run, "pivot long" if bare else "pivot long, key long, n int, cells binary")
-
-
-def within(na: np.ndarray, nb: np.ndarray, ca: np.ndarray, cb: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Pairs that their sizes and cells do not rule out: |x ^ y| <= (1 - t) / (1 + t) * (|x| + |y|)."""
-    ok = den * np.minimum(na, nb) >= num * np.maximum(na, nb)
-    at = np.flatnonzero(ok)
-    least = np.abs(ca[at].astype(np.int16) - cb[at].astype(np.int16)).sum(axis=1, dtype=np.int64)
-    ok[at] = (den + num) * least <= (den - num) * (na[at] + nb[at])
-    return ok
-
-
-def small_regions(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) pairs of keys that share a region and that sizes and cells do not rule out; rows of a region meet in one task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
-            pivot = t["pivot"].to_numpy()
-            last = int(np.searchsorted(pivot, pivot[-1], side="left")) if len(pivot) else 0
-            rest = t.slice(last)  # the last region may go on in the next batch; it holds REGION rows or little more
-            yield from pairs(t.slice(0, last))
-        if rest is not None:
-            yield from pairs(rest)
-
-    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        if len(t) < 2:
-            return
-        t = t.combine_chunks()
-        pivot, key, n = (t[c].to_numpy() for c in ("pivot", "key", "n"))
-        n = n.astype(np.int64)
-        c = np.frombuffer(b"".join(t["cells"].to_pylist()), np.uint8).reshape(len(t), CELLS)
-        left, right = [], []
-        for d in range(1, len(t)):
-            i = np.flatnonzero(pivot[d:] == pivot[:-d])
+    def close(p, k, n, at) -> list[np.ndarray]:
+        left, right, i = [], [], np.arange(len(p) - 1)
+        for d in range(1, REGION):
+            i = i[i + d < len(p)]
+            i = i[(p[i] == p[i + d]) & (den * n[i] >= num * n[i + d])]  # sizes rise within a region
             if not len(i):
                 break
-            ok = i[within(n[i], n[i + d], c[i], c[i + d], num, den) & (key[i] != key[i + d])]
-            left.append(np.minimum(key[ok], key[ok + d]))
-            right.append(np.maximum(key[ok], key[ok + d]))
-        if left:
-            both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-    return rows.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "a long, b long").distinct()
+            need = -(-num * (n[i] + n[i + d]) // (num + den))
+            ok = i[(n[i] - at[i] >= need) & (n[i + d] - at[i + d] >= need)]
+            left.append(np.minimum(k[ok], k[ok + d]))
+            right.append(np.maximum(k[ok], k[ok + d]))
+        return list(np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0).T) if left else [p[:0], p[:0]]
 
-
-def with_sets(df: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """key and set, as bytes, of the wanted (key, rep) rows; documents that a bitmap of the ids rules out are not shingled."""
-    spark = df.sparkSession
-    wanted = cut(wanted.withColumn("place", F.xxhash64("rep")))
-    needed = spark.sparkContext.broadcast(bitmap(wanted, "place", NEEDED_BITS))
+    def batch(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], ["kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size, large = 0, None  # the pivot of a region that is known to be large and goes on
+
+        def settle(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size, large
+            p, k, n, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            cloud = n == 0
+            if cloud.any():
+                yield batch(CLOUD, p[cloud], k[cloud])
+                p, k, n, at = (x[~cloud] for x in (p, k, n, at))
+            order = np.lexsort((k, n, p))
+            p, k, n, at = (x[order] for x in (p, k, n, at))
+            fresh = np.r_[True, (p[1:] != p[:-1]) | (k[1:] != k[:-1])][: len(p)]
+            p, k, n, at = (x[fresh] for x in (p, k, n, at))
+            held, size = [], 0
+            if not len(p):
+                return
+            starts = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
+            counts = np.diff(np.r_[starts, len(p)])
+            most = (counts > REGION) | (p[starts] == large if large is not None else False)
+            open_ = not last and not most[-1]  # the last region may go on
+            big = np.repeat(most, counts)
+            if big.any():
+                yield batch(LARGE, p[big], k[big])
+            large = p[-1] if most[-1] else None
+            small = ~big
+            if open_:
+                small[starts[-1] :] = False
+                held = [tuple(x[starts[-1] :] for x in (p, k, n, at))]
+                size = len(held[0][0])
+            yield batch(PAIR, *close(*(x[small] for x in (p, k, n, at))))
+
         for b in batches:
-            b = b.filter(pa.array(has(needed.value, np.asarray(b.column("place")))))
-            if len(b):
-                found = [s.tobytes() for s in sets(b.column("text").to_pylist(), words)]
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([xxhash.xxh3_64_intdigest(s) >> 1 for s in found], pa.int64()), pa.array(found, pa.binary())], ["id", "mark", "set"])
+            held.append((b.column("pivot").to_numpy(), b.column("key").to_numpy(), b.column("n").to_numpy().astype(np.int64), b.column("place").to_numpy().astype(np.int64)))
+            size += len(b)
+            if size >= MEET_ROWS:
+                yield from settle(False)
+        if held:
+            yield from settle(True)
 
-    texts = df.where(F.col("id").isNotNull()).withColumn("place", F.xxhash64("id"))
-    found = texts.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, mark long, set binary")
-    return found.join(wanted, (F.col("id") == F.col("rep")) & (F.octet_length("set") == F.col("n") * 8)).dropDuplicates(["key", "mark"]).select("key", "set")
+    to = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("pivot"))
+    return rows.repartition(to).sortWithinPartitions("pivot").mapInArrow(run, "kind int, a long, b long").distinct()
 
 
 def near(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -343,135 +309,213 @@ def near(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(a, b, common) of the pairs whose sets have den * common >= num * union; pairs is cut and passed the test of all cells."""
+def verify(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, num: int, den: int, seed: int) -> DataFrame:
+    """The (a, b) pairs whose sets have den * common >= num * union; pairs is cut.
+
+    Texts that a bitmap of the ids rules out are not exchanged; the others meet their key by id, and are shingled then.
+    """
+    spark = df.sparkSession
     pairs = few(pairs)
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    held = cut(with_sets(df, keys.join(nodes.select("key", "rep", "n"), "key"), words))
+    wanted = cut(few(keys.join(nodes.select("key", "rep"), "key").withColumn("place", F.xxhash64("rep"))))
+    needed = spark.sparkContext.broadcast(bitmap(wanted, "place", NEEDED_BITS))
+
+    def ruled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(has(needed.value, np.asarray(b.column("place")))))
+            if len(b):
+                yield b.select(["id", "text"])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = sets(b.column("text").to_pylist(), words)
+            ok = [digest(s, seed)[0] == k for s, k in zip(found, b.column("key").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("key").filter(pa.array(ok, pa.bool_())), pa.array([s.tobytes() for s, o in zip(found, ok, strict=True) if o], pa.binary())], ["key", "set"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            common, ok = [], []
+            ok = []
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
                 k = len(np.intersect1d(x, y, assume_unique=True))
-                common.append(k)
                 ok.append(den * k >= num * (len(x) + len(y) - k))
-            out = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(common, pa.int64())], ["a", "b", "common"])
-            yield out.filter(pa.array(ok, pa.bool_()))
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    id_type = df.schema["id"].dataType.simpleString()
+    texts = df.withColumn("place", F.xxhash64("id")).mapInArrow(ruled, f"id {id_type}, text string")
+    texts = texts.join(wanted.select("rep", "key"), F.col("id") == F.col("rep")).select("key", "text")
+    held = texts.mapInArrow(shingled, "key long, set binary").groupBy("key").agg(F.first("set").alias("set"))
     a = held.select(F.col("key").alias("a"), F.col("set").alias("x"))
     b = held.select(F.col("key").alias("b"), F.col("set").alias("y"))
-    out = cut(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long, common long"))
-    del pairs, keys, held, a, b
-    sweep(df.sparkSession)
+    out = cut(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    needed.destroy()
     return out
 
 
-def clouds(rows: DataFrame, nodes: DataFrame, links: DataFrame, df: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Links within regions of any size: by document pivots, triangle-inequality windows, and blocks of what is left."""
-    rows = few(cut(rows.select("pivot", "key")))
-    heads = rows.groupBy("pivot").agg(F.min("key").alias("head"))
-    members = few(cut(rows.join(heads, "pivot").select("head", "key").distinct()))
-    star = members.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    star = few(verify(cut(near(star, nodes, num, den)), nodes, df, words, num, den))
-    links = cut(few(links.unionByName(star.select("a", "b"))))
-    for limit in PASSES:
-        found = cut(across(members, star, components(links), nodes, num, den, limit))
-        if found.isEmpty():
-            break
-        links = cut(few(links.unionByName(verify(found, nodes, df, words, num, den).select("a", "b"))))
-    return links
+def radius(n: Column, num: int, den: int) -> Column:
+    """Largest symmetric difference of a set of n shingles and any partner."""
+    return F.floor(n * (den - num) / num)
+
+
+def with_pivots(members: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Adds to members (g, key, n, cells, ...) d, the coarse distances from their region's pivots, and stars, the nearest pivots that
+    cells do not rule out. Pivots are PIVOTS members of the region, by hash; a region is spread over SALTS tasks where it meets them.
+    """
+    masks = np.random.default_rng(5).integers(-(1 << 62), 1 << 62, PIVOTS).tolist()
+    drawn = members.groupBy("g").agg(*[F.min(F.col("key").bitwiseXOR(F.lit(m))).alias(f"p{i}") for i, m in enumerate(masks)])
+    drawn = drawn.select("g", F.explode(F.array_distinct(F.array(*[F.col(f"p{i}").bitwiseXOR(F.lit(m)) for i, m in enumerate(masks)]))).alias("key"))
+    drawn = drawn.join(nodes.select("key", "n", "cells"), "key").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("key", "n", "cells"))).alias("pivots"))  # PIVOTS at most
+    drawn = drawn.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    names = [c for c in members.columns if c not in ("d", "stars")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d, stars = [], []
+            own = coarse(b.column("cells").to_pylist())
+            for i, (key, n, fine, pivots) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "n", "cells", "pivots")), strict=True)):
+                d.append(np.abs(own[i] - coarse([p["cells"] for p in pivots])).sum(axis=1).tolist())
+                ranked = sorted(((apart(fine, p["cells"]) / (n + p["n"]), p["key"]) for p in pivots if p["key"] != key and den * min(n, p["n"]) >= num * max(n, p["n"])))
+                stars.append([k for x, k in ranked[:NEAREST] if (den + num) * x <= den - num + 1e-9])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(d, pa.list_(pa.int64())), pa.array(stars, pa.list_(pa.int64()))], [*names, "d", "stars"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema if f.name in names)
+    met = members.select(*names).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(drawn, ["g", "salt"])
+    return met.mapInArrow(run, f"{schema}, d array<long>, stars array<long>")
+
 
+def regions_of(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Members of the regions of moved pivots with their distances, from (pivot, key) rows.
 
-def across(members: DataFrame, star: DataFrame, roots: DataFrame, nodes: DataFrame, num: int, den: int, limit: int | None) -> DataFrame:
-    """(a, b) pairs of a cloud's members in different components that windows, sizes and all cells do not rule out.
+    Regions with the same smallest key are one, and then those with the same smallest region of any of their members, as near copies share many pivots.
+    """
+    heads = rows.groupBy("pivot").agg(F.min("key").alias("g"))
+    members = few(cut(rows.join(heads, "pivot").select("g", "key").distinct()))
+    least = members.groupBy("key").agg(F.min("g").alias("least"))
+    joined = members.join(least, "key").groupBy("g").agg(F.min("least").alias("least"))
+    members = few(cut(members.join(joined, "g").select(F.col("least").alias("g"), "key").distinct()))
+    return cut(with_pivots(members.join(nodes.select("key", "n", "cells"), "key").select("g", "key", "n", "cells"), nodes, num, den))
+
+
+def across(members: DataFrame, roots: DataFrame, nodes: DataFrame, num: int, den: int, limit: int | None) -> DataFrame:
+    """(a, b) pairs of a region's members in different components that windows, sizes and all cells do not rule out, and a row of
+    nulls where `limit` left some out.
 
-    Members outside the main component of their cloud are queries; each gives its `limit` nearest partners by cells, or all.
+    Members outside the main component of their region are queries; each gives its `limit` nearest partners by cells, or all.
     """
-    # members of one component need no more tests among themselves
-    members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    members = few(cut(members.join(star.select(F.col("a").alias("head"), F.col("b").alias("key"), "common"), ["head", "key"], "left")))
-    sizes = members.groupBy("head", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("head").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    side = nodes.select("key", "n", "cells")
-    main = main.join(side.select(F.col("key").alias("head"), F.col("n").alias("head_n"), F.col("cells").alias("head_cells")), "head")
-    # one row a cloud and salt, so that a large cloud's members do not meet it in one task
+    members = members.drop("stars").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    sizes = members.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("g").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("g", "main")
     main = main.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = members.join(side, "key").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(main, ["head", "salt"])
-    part = lambda name: F.pmod(F.xxhash64("key", F.lit(name)), F.ceil(F.col("all") / BLOCK)).cast("int")
-    # queries: members outside the main component; they meet every member, in blocks of either
-    span = F.sequence(F.lit(0), (F.ceil(F.col("all") / BLOCK) - 1).cast("int"))
-    queries = members.where("root <> main").withColumn("q", part("q")).withColumn("m", F.explode(span))
-    others = members.withColumn("m", part("m")).withColumn("q", F.explode(span))
-    met = queries.withColumn("query", F.lit(True)).unionByName(others.withColumn("query", F.lit(False)))
+    rows = members.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(main, ["g", "salt"]).drop("salt")
+    rows = few(cut(rows.withColumn("asks", F.col("root") != F.col("main")).drop("main")))
+    natives, queries = rows.drop("asks"), rows.where("asks").drop("asks")
+    for level in range(LEVELS):
+        # what dealing a region by its pivots would leave to compare, against all its queries and members
+        home, inside = F.array_position("d", F.array_min("d")), lambda i: F.coalesce(F.get("d", F.lit(i)) <= F.array_min("d") + 2 * radius(F.col("n"), num, den), F.lit(False))
+        cells_ = range(PIVOTS)
+        owned = natives.groupBy("g").agg(F.count(F.lit(1)).alias("all"), *[F.count_if(home == i + 1).alias(f"n{i}") for i in cells_])
+        wanted = queries.groupBy("g").agg(F.count(F.lit(1)).alias("asked"), *[F.count_if(inside(i)).alias(f"q{i}") for i in cells_])
+        dealt = sum((F.col(f"n{i}").cast("double") * F.col(f"q{i}") for i in cells_), F.lit(0.0))
+        gain = (F.col("all") > BLOCK) & (F.col("asked") > BLOCK) & (dealt < GAIN * F.col("all") * F.col("asked"))
+        large = cut(owned.join(wanted, "g").where(gain).select("g"))
+        if large.isEmpty():
+            break
+        large = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("deal", F.lit(True))
+        marked = lambda t: t.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(large, ["g", "salt"], "left").drop("salt")
+        natives, queries = marked(natives), marked(queries)
+        renamed = F.when(F.col("deal"), F.xxhash64("g", "j", F.lit(level))).otherwise(F.col("g"))
+        windows = F.when(F.col("deal"), F.array_compact(F.array(*[F.when(inside(i), i + 1) for i in cells_]))).otherwise(F.array(F.lit(0)))
+        natives = natives.withColumn("j", home.cast("int")).withColumn("g", renamed).drop("j")
+        queries = queries.withColumn("j", F.explode(windows)).withColumn("g", renamed).drop("j")
+        natives, queries = few(cut(natives)), few(cut(queries))
+        # the cells draw pivots of their own
+        again = natives.where("deal").unionByName(queries.where("deal")).drop("deal").dropDuplicates(["g", "key"])
+        drawn = cut(with_pivots(again, nodes, num, den)).select("g", "key", F.col("d").alias("own"))
+        natives, queries = (t.join(drawn, ["g", "key"], "left").withColumn("d", F.coalesce("own", "d")).drop("own", "deal") for t in (natives, queries))
+    counts = cut(natives.groupBy("g").agg(F.count(F.lit(1)).alias("all")).join(queries.groupBy("g").agg(F.count(F.lit(1)).alias("asked")), "g"))
+    # blocks of queries meet blocks of members, as many as either has
+    counts = counts.select("g", F.ceil(F.col("all") / BLOCK).cast("int").alias("ms"), F.ceil(F.col("asked") / BLOCK).cast("int").alias("qs"))
+    counts = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    natives, queries = (t.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(counts, ["g", "salt"]).drop("salt") for t in (natives, queries))
+    part = lambda name, of: F.pmod(F.xxhash64("key", F.lit(name)), F.col(of)).cast("int")
+    span = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    queries = queries.withColumn("q", part("q", "qs")).withColumn("m", span("ms")).withColumn("asks", F.lit(True))
+    natives = natives.withColumn("m", part("m", "ms")).withColumn("q", span("qs")).withColumn("asks", F.lit(False))
+    met = queries.unionByName(natives).select("g", "q", "m", "asks", "key", "root", "n", "cells", "d").repartition("g", "q", "m")
 
     def block(table: pa.Table) -> pa.Table:
-        query = table["query"].to_numpy(zero_copy_only=False).astype(bool)
+        asks = table["asks"].to_numpy(zero_copy_only=False).astype(bool)
         key, root = table["key"].to_numpy(), table["root"].to_numpy()
         n = table["n"].to_numpy().astype(np.int64)
         fine = table["cells"].to_pylist()
-        head, head_n = table["head_cells"][0].as_py(), table["head_n"][0].as_py()
-        c = np.stack([np.minimum(fold(np.frombuffer(x, np.uint8), CELLS), 255).astype(np.uint8) for x in fine])
-        common = np.array(table["common"].to_numpy(zero_copy_only=False), float)
-        # exact distance from the pivot where the star linked it, else the radius of the space
-        far = np.where(np.isnan(common), 1.0, 1 - common / (n + head_n - common))
-        far[key == table["head"][0].as_py()] = 0.0
-        members_ = np.flatnonzero(~query)
+        c, d = coarse(fine), np.array(table["d"].to_pylist(), np.int64)
+        here = np.flatnonzero(~asks)
         a, b = [], []
-        for i in np.flatnonzero(query):
-            least = apart(fine[i], head)
-            least = 2 * least / (n[i] + head_n + least)  # no nearer to the pivot than this
-            j = members_[(root[members_] != root[i]) & (least <= far[members_] + (den - num) / den + 1e-9)]
-            j = j[within(np.full(len(j), n[i]), n[j], np.broadcast_to(c[i], (len(j), CELLS)), c[j], num, den)]
-            near_ = sorted((apart(fine[i], fine[k]) / (n[i] + n[k]), key[k]) for k in j)
-            for d, other in near_[:limit]:
-                if (den + num) * d <= den - num + 1e-9:
-                    a.append(min(key[i], other))
-                    b.append(max(key[i], other))
+        for i in np.flatnonzero(asks):
+            j = here[(root[here] != root[i]) & (den * np.minimum(n[here], n[i]) >= num * np.maximum(n[here], n[i]))]
+            most = (den - num) * (n[j] + n[i])  # (den + num) times the largest symmetric difference
+            j = j[(den + num) * np.abs(d[j] - d[i]).max(axis=1, initial=0) <= most]  # triangle inequality, by every pivot
+            j = j[(den + num) * np.abs(c[j] - c[i]).sum(axis=1) <= (den - num) * (n[j] + n[i])]
+            ranked = sorted((x, key[k]) for x, k in ((apart(fine[i], fine[k]) / (n[i] + n[k]), k) for k in j) if (den + num) * x <= den - num + 1e-9)
+            for _, other in ranked[:limit]:
+                a.append(min(key[i], other))
+                b.append(max(key[i], other))
+            if limit is not None and len(ranked) > limit:
+                a.append(None)
+                b.append(None)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    met = met.select("head", "q", "m", "key", "root", "n", "cells", "common", "head_n", "head_cells", "query")
-    met = met.repartition("head", "q", "m")  # without it, a cloud's blocks would stay where its members met
-    return met.groupBy("head", "q", "m").applyInArrow(block, "a long, b long").distinct()
+    return met.groupBy("g", "q", "m").applyInArrow(block, "a long, b long").distinct()
 
 
 def jaccard_links(df: DataFrame, words: int, num: int, den: int, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, nodes, links) of a table of id and text.
+    """(documents, nodes, components) of a table of id and text.
 
-    documents: id, n, key; nodes: key, rep (smallest id), n; links: (a, b) keys of different sets, enough of them that
-    components are whole: a link inside a cloud's component may be left out. Documents with the same set share a key.
+    documents: id, n, key; nodes: key, rep (smallest id), n; components: (node, root) of the keys of sets that are linked. A link
+    within a component that others hold together may be left untested.
     """
     spark = df.sparkSession
     small_batches(spark)
     share = spark.sparkContext.broadcast
-    moved = bitmap(frequent(df, words).where(F.col("c") > REGION), "pivot", MOVED_BITS)
-    first = share(moved.copy())
-    base = cut(digests(df, first, words, num, den, seed))
-    nodes = base.where("n > 0").groupBy("key").agg(
-        F.min("id").alias("rep"), F.max("n").alias("n"),
-        F.max("cells").alias("cells"), F.max(F.struct(F.size("window").alias("s"), "window"))["window"].alias("window"),
-        (F.min("check") != F.max("check")).alias("clash"),
-    )
+    found = cut(survey(df, words, seed))
+    base = found.where("key IS NOT NULL").select("id", "n", "key", "check", "cells")
+    nodes = base.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.max("cells").alias("cells"), (F.min("check") != F.max("check")).alias("clash"))
     nodes = cut(nodes)
     if not nodes.where("clash").isEmpty():  # two sets with one key: take other keys
         return jaccard_links(df, words, num, den, seed + 1)
-    parts, counts = nodes, None
-    for r in range(ROUNDS + 1):
-        counts = cut(region_rows(parts, share(met_twice(parts)), None, bare=True).groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-        hot = bitmap(counts.where(F.col("c") > REGION), "pivot", MOVED_BITS)
-        sweep(spark)
-        if r == ROUNDS or not (hot & ~moved).any():
-            break
-        moved |= hot
-        sent = share(moved.copy())
-        parts = unmoved(nodes, first, sent).select("key", "n", "window", "cells").unionByName(moved_windows(df, first, sent, words, num, den, seed).select("key", "n", "window", "cells"))
-    shared, large = share(bitmap(counts, "pivot", SHARED_BITS)), share(hot)
-    met = cut(near(small_regions(region_rows(parts, shared, large), num, den), nodes, num, den))
-    links = verify(met, nodes, df, words, num, den).select("a", "b")
-    if hot.any():
-        links = clouds(region_rows(parts, large, None), nodes, links, df, words, num, den)
-    return base.select("id", "n", "key"), nodes.select("key", "rep", "n"), links
+    moved = share(moved_bits(cut(found.where("key IS NULL").groupBy("pivot").agg(F.sum("c").alias("c")).where(F.col("c") > 2))))
+    met = cut(meetings(region_rows(df, moved, None, words, num, den, seed), num, den))
+    pairs, clouds = met.where(F.col("kind") == PAIR), met.where(F.col("kind") == CLOUD)
+    large = moved_bits(met.where(F.col("kind") == LARGE).groupBy(F.col("a").alias("pivot")).agg(F.count(F.lit(1)).alias("c")))
+    if large.any():  # dissolved: sets that met there meet all others again at the pivots that are now in their windows
+        after = share(moved.value | large)
+        only = share(bitmap(next_pivots(df, moved, after, words, num, den), "pivot", NEXT_BITS))
+        again = cut(meetings(region_rows(df, after, only, words, num, den, seed), num, den))
+        pairs, clouds = pairs.unionByName(again.where(F.col("kind") == PAIR)).distinct(), again.where(F.col("kind") != PAIR)
+        only.destroy()
+        after.destroy()
+    moved.destroy()
+    members = regions_of(clouds.select(F.col("a").alias("pivot"), F.col("b").alias("key")), nodes, num, den)
+    stars = members.select("key", F.explode("stars").alias("p")).select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b"))
+    asked = cut(few(near(few(pairs.select("a", "b")), nodes, num, den).unionByName(stars).distinct()))
+    sweep(spark)
+    links = verify(asked, nodes, df, words, num, den, seed)
+    roots = components(links)
+    if not members.isEmpty():
+        for limit in PASSES:
+            sweep(spark)
+            found = cut(few(across(members, roots, nodes, num, den, limit)))
+            asked = found.where("a IS NOT NULL")
+            if asked.isEmpty():
+                break
+            fresh = verify(asked, nodes, df, words, num, den, seed)
+            if not fresh.isEmpty():
+                # links of components stand for all links so far
+                links = cut(few(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh)))
+                roots = components(links)
+            if found.where("a IS NULL").isEmpty():
+                break
+    return base.select("id", "n", "key"), nodes.select("key", "rep", "n"), roots
 
 
 def jaccard_components(df: DataFrame, words: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,8 +525,7 @@ def jaccard_components(df: DataFrame, words: int, num: int, den: int, id_col: st
     component is null. Repeated rows share a component; an empty table gives an empty result. Other columns are not read.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    base, nodes, links = jaccard_links(rows.where(F.col("id").isNotNull()), words, num, den)
-    roots = components(links)
+    base, nodes, roots = jaccard_links(rows.where(F.col("id").isNotNull()), words, num, den)
     named = nodes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "root").select("key", "component_id")

@@ -43,15 +43,27 @@ def test_against_all_pairs(spark, k, num, seed):
     assert [got[i] for i in range(len(texts))] == components(texts, k, num, 100)
 
 
-def test_clouds_alone_lose_no_link(spark, monkeypatch):
-    """With tiny regions and blocks everything goes through dissolved regions and clouds."""
+@pytest.mark.parametrize("gain", [jaccard.GAIN, 1e9])
+def test_clouds_alone_lose_no_link(spark, monkeypatch, gain):
+    """With tiny regions and blocks everything goes through dissolved regions and clouds, dealt by pivots where that pays, or always."""
     monkeypatch.setattr(jaccard, "REGION", 2)
     monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "GAIN", gain)
     texts = corpus(3, n=30, cloud=40)
     got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs(spark, texts), 4, 85, 100).collect()}
     assert [got[i] for i in range(len(texts))] == [c for _, c in components(texts, 4, 85, 100)]
 
 
+def test_large_regions_are_dissolved(spark, monkeypatch):
+    """Without the look at chunks, shared passages make regions that are found to be large only when they meet."""
+    monkeypatch.setattr(jaccard, "CHUNK_SHARED", 1 << 30)
+    monkeypatch.setattr(jaccard, "REGION", 8)
+    monkeypatch.setattr(jaccard, "MEET_ROWS", 64)
+    texts = corpus(4, n=30, cloud=40)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs(spark, texts), 5, 80, 100).collect()}
+    assert [got[i] for i in range(len(texts))] == [c for _, c in components(texts, 5, 80, 100)]
+
+
 def test_edges(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], SCHEMA), 4, 85, 100).count() == 0
     rows = jaccard.jaccard_components(docs(spark, ["a b c d", "a b c d", None, "x"], ids=[4, 4, 2, None]), 4, 85, 100).collect()
