@@ -11,7 +11,9 @@ import itertools
 from pyspark.sql import DataFrame, SparkSession
 
 from chronolex.llm import dedup, jaccard, langid, mixing, packing
-from chronolex.llm.common import checkpoint_dir, documents
+from chronolex.llm.common import documents
+from chronolex.plans.stages import remove
+from chronolex.session import shared_folder
 
 STAGES = [
     ("language_id", langid.stage),
@@ -28,13 +30,13 @@ _runs = itertools.count()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to the documents of sf_dir. Between stages, tables live in the cluster's shared checkpoint folder."""
-    checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{next(_runs)}"
-    docs = documents(spark, sf_dir)
+    """Applies STAGES to the documents of sf_dir. Between stages, tables live in the cluster's shared folder; each goes when the next one is whole."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-pipeline-{next(_runs)}"
+    docs, before = documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         path = f"{folder}/{k}-{name}"
-        out.write.mode("overwrite").parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
