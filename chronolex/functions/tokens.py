@@ -183,7 +183,7 @@ def normalise_with_tables(
     n-gram is exchanged; n-grams of more than PLACES tokens, and all where the map is large, are exploded, joined and put
     together again. fallback gives the lemma of (token, universal tag) that no table has. An empty whitelist keeps nothing.
     """
-    raw = ngrams.select(F.col(column).alias("ngram")).distinct()
+    raw = settled(ngrams.select(F.col(column).alias("ngram")).distinct())  # read for its tokens and to be put together
     words = raw.select("ngram", split_tokens(F.col("ngram")).alias("w"))
     mapped = settled(token_map(words.select(F.explode("w").alias("raw")).distinct(), rules, whitelist, lemmas, fallback))
     small = mapped.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

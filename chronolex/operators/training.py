@@ -137,7 +137,8 @@ def train_one(sentences: list[np.ndarray], weights: np.ndarray, counts: np.ndarr
 def train(corpus: DataFrame, wanted: DataFrame, seed: int = 1, unk: str = "reject") -> DataFrame:
     """year, settings, word and vector, one model a task: its corpus is the weighted distinct n-grams of a year.
 
-    corpus has year, tokens, weight; wanted the grid. The corpus of a year goes once to each of its models. unk says what becomes of
+    corpus has year, tokens, weight; wanted the grid. The corpus of a year goes once to each of its models; if it has weight_by too,
+    to those that are weighted so. unk says what becomes of
     sentences with UNK: reject drops them, strip takes UNK out and keeps what has two words left, retain trains a vector for it.
     """
     if unk not in ("reject", "strip", "retain"):
@@ -161,5 +162,5 @@ def train(corpus: DataFrame, wanted: DataFrame, seed: int = 1, unk: str = "rejec
         vectors = train_one(ids, pdf["weight"].to_numpy(float), np.array([counts[w] for w in words], float), int(first["vector_size"]), int(first["window"]), int(first["epochs"]), first["approach"] == "skip-gram", seed=seed) if words else []
         return pd.DataFrame({"year": first["year"], **{s: first[s] for s in SETTINGS}, "word": words, "vector": list(vectors)})
 
-    rows = corpus.withColumn("line", F.concat_ws(" ", "tokens")).join(F.broadcast(wanted), "year")  # the grid is the query's own
+    rows = corpus.withColumn("line", F.concat_ws(" ", "tokens")).join(F.broadcast(wanted), [c for c in ("year", "weight_by") if c in corpus.columns])  # the grid is the query's own
     return rows.groupBy("year", *SETTINGS).applyInPandas(run, "year int, weight_by string, vector_size int, window int, min_count int, approach string, epochs int, word string, vector array<float>")

@@ -259,8 +259,8 @@ def word2vec_train(spark, sf_dir) -> DataFrame:
     rows = ngram_year(spark, sf_dir)
     grid = settings_grid(spark).drop("year").distinct().crossJoin(rows.select("year").distinct())  # every year of the table
     weights = {"none": F.lit(1), "freq": tokens.log_weight(F.col("match_count"))}
-    models = [training.train(ops.sentences(rows, w), grid.where(F.col("weight_by") == by)) for by, w in weights.items()]
-    return models[0].unionByName(models[1])
+    corpora = [ops.sentences(rows, w).withColumn("weight_by", F.lit(by)) for by, w in weights.items()]
+    return training.train(corpora[0].unionByName(corpora[1]), grid)
 
 
 def _regression_rows(spark, sf_dir) -> DataFrame:

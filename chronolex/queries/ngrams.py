@@ -196,14 +196,15 @@ def tok_whitelist(spark, sf_dir) -> DataFrame:
     return tokens.normalise_with_tables(doc_bigrams(spark, sf_dir), RULES, whitelist=_whitelist(spark, sf_dir))
 
 
-@query(f"""WITH {_WL}, lem AS (SELECT token, CASE WHEN strlen(token) % 2 = 0 THEN 'NOUN' END AS pos, 'l' || substr(token, 1, 3) AS lemma FROM wl),
+@query(f"""WITH {_DT}, lem AS (SELECT token, CASE WHEN strlen(token) % 2 = 0 THEN 'NOUN' END AS pos, 'l' || substr(token, 1, 3) AS lemma FROM (SELECT DISTINCT {_LOWBARE} AS token FROM dt)),
 raw AS (SELECT DISTINCT ngram FROM dn), x AS (SELECT ngram, list_filter(string_split(ngram, ' '), lambda t: t <> '') AS toks FROM raw), u AS (SELECT ngram, unnest(toks) AS raw, unnest(range(len(toks))) AS i FROM x),
 k AS (SELECT ngram, i, {_LOWBARE} AS t, CASE regexp_extract(raw, '{_TAGRE}', 2) WHEN '' THEN 'NOUN' WHEN 'CONJ' THEN 'CCONJ' WHEN '.' THEN 'PUNCT' ELSE regexp_extract(raw, '{_TAGRE}', 2) END AS p FROM u),
 j AS (SELECT ngram, i, coalesce(a.lemma, b.lemma, k.t) AS t FROM k LEFT JOIN lem a ON k.t = a.token AND k.p = a.pos LEFT JOIN lem b ON k.t = b.token AND b.pos IS NULL)
 SELECT ngram, string_agg(CASE WHEN {_OK} THEN t ELSE '<UNK>' END, ' ' ORDER BY i) AS normalised FROM j GROUP BY 1 HAVING bool_or({_OK})""")
 def tok_lemma(spark, sf_dir) -> DataFrame:
     pos = F.when(F.octet_length("token") % 2 == 0, F.lit("NOUN"))
-    lemmas = _whitelist(spark, sf_dir).select("token", pos.alias("pos"), F.concat(F.lit("l"), F.substring("token", 1, 3)).alias("lemma"))
+    every = _doc_tokens(spark, sf_dir).select(tokens.ascii_lower(tokens.bare(F.col("raw"))).alias("token")).distinct()
+    lemmas = every.select("token", pos.alias("pos"), F.concat(F.lit("l"), F.substring("token", 1, 3)).alias("lemma"))
     return tokens.normalise_with_tables(doc_bigrams(spark, sf_dir), RULES, lemmas=lemmas)
 
 
