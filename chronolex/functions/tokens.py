@@ -137,6 +137,16 @@ def look_up_side(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
 
 
+def normalised_rows(df: DataFrame, rules: TokenRules, column: str = "ngram") -> DataFrame:
+    """Rows whose n-gram is kept, with its normalised form in its place.
+
+    What is dropped goes by exploding a list without nulls: a filter would be moved below the projection and run all patterns twice.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    rows = df.select(*rest, normalise(F.col(column), rules).alias("own_text"))
+    return rows.select(*rest, F.explode(F.array_compact(F.array("own_text"))).alias(column))
+
+
 #: Tokens of an n-gram that are looked up one place after another where the map of tokens is broadcast.
 PLACES = 5
 

@@ -24,7 +24,7 @@ c AS (SELECT ngram FROM m WHERE ngram IS NOT NULL AND year BETWEEN {YEARS[0]} AN
 SELECT ngram, CAST(sum(match_count) AS BIGINT) AS total FROM m JOIN c USING (ngram) GROUP BY 1 ORDER BY total DESC, ngram LIMIT 20""")
 def flagship_top_ngrams(spark, sf_dir) -> DataFrame:
     """Normalise, merge, keep n-grams that every year has, and rank: one plan."""
-    rows = ngram_year(spark, sf_dir).withColumn("ngram", tokens.normalise(F.col("ngram"), RULES)).where("ngram IS NOT NULL")
+    rows = tokens.normalised_rows(ngram_year(spark, sf_dir), RULES)
     return ops.vocabulary(ops.merge_sum(rows), top=20, years=YEARS)
 
 
@@ -175,7 +175,7 @@ def tok_alpha_short(spark, sf_dir) -> DataFrame:
 @query(f"""WITH {DN}, n AS (SELECT *, {_T} AS toks FROM dn) SELECT norm AS ngram, year, CAST(count(*) AS BIGINT) AS match_count, CAST(count(DISTINCT doc_id) AS BIGINT) AS volume_count
 FROM (SELECT {_NORM} AS norm, year, doc_id FROM n) WHERE norm IS NOT NULL GROUP BY 1, 2""")
 def filter_full(spark, sf_dir) -> DataFrame:
-    rows = doc_bigrams(spark, sf_dir).withColumn("ngram", tokens.normalise(F.col("ngram"), RULES)).where("ngram IS NOT NULL")
+    rows = tokens.normalised_rows(doc_bigrams(spark, sf_dir), RULES)
     return rows.groupBy("ngram", "year").agg(F.count(F.lit(1)).alias("match_count"), F.count_distinct("doc_id").alias("volume_count"))
 
 
