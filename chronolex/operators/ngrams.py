@@ -164,6 +164,15 @@ def unit_name(start: bytes | None, end: bytes | None) -> str:
     return f"{a[:4].hex()}-{b[:4].hex()}-{hashlib.sha256(a + b'|' + b).hexdigest()[:6]}"
 
 
+def midpoint(start: bytes | None, end: bytes | None) -> bytes | None:
+    """A key halfway between two, open ends being the ends of the byte space; null if there is none between them."""
+    width = max(len(start or b""), len(end or b"")) + 1
+    low = int.from_bytes((start or b"").ljust(width, b"\0"), "big")
+    high = 256**width if end is None else int.from_bytes(end.ljust(width, b"\0"), "big")
+    middle = (low + high) // 2
+    return middle.to_bytes(width, "big").rstrip(b"\0") if low < middle < high else None
+
+
 def is_empty(df: DataFrame, lower: str = "", upper: str | None = None, key: str = "ngram") -> bool:
     """Whether a range of keys holds no row; reads no more than one."""
     rows = df.where(F.col(key) >= lower)

@@ -179,6 +179,8 @@ def test_bounds_and_units(spark):
     assert [r["key"] for r in ops.density_bounds(keys, 4).orderBy("part").collect()] == ["k025", "k050", "k075"]
     assert ops.bounds(keys, 4).count() == 3 and [bytes(r["key"]) for r in ops.bounds(keys, 2).collect()] == [b"\x80"]
     assert len({ops.unit_name(None, b"a"), ops.unit_name(b"a", None), ops.unit_name(b"a", b"b")}) == 3
+    assert ops.midpoint(b"\x40", b"\x80") == b"\x60" and ops.midpoint(None, None) == b"\x80" and b"a" < ops.midpoint(b"a", b"b") < b"b"
+    assert ops.midpoint(b"a", b"a\x00") is None and ops.midpoint(b"b", b"a") is None
     assert [r[0] for r in ops.vocabulary_index(keys.unionByName(keys)).limit(2).collect()] == ["k000", "k001"]
 
 

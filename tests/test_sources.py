@@ -182,6 +182,10 @@ def test_year_files_and_sentences(spark, tmp_path):
 
     stats = {r["year"]: tuple(r)[1:] for r in ops.corpus_stats(src.year_corpus(spark, str(tmp_path / "*.gz"))).collect()}
     assert stats == {1990: (2, 3, 2), 1991: (1, 5, 0)}
+    made = []
+    for _ in range(2):  # what is there already is read, not made again
+        kept = stages.run_stage(spark, lambda: made.append(1) or ops.corpus_stats(src.year_corpus(spark, str(tmp_path / "*.gz"))), str(tmp_path / "stats"))
+    assert len(made) == 1 and kept.count() == 2
     tokens = spark.createDataFrame([(["a", "b"], 2)], "tokens array<string>, weight long")
     stages.write_sentences(ops.repeated(tokens), str(tmp_path / "s"))
     assert [r[0] for r in spark.read.text(str(tmp_path / "s")).collect()] == ["a b", "a b"]
