@@ -2,9 +2,11 @@
 
 Subwords are byte n-grams of 2 to 4 bytes of the lower-cased text, with one space for whatever lies between
 words, hashed to BUCKETS rows of an embedding table. A document is the mean of its subwords' embeddings;
-a linear softmax over it is trained by stochastic gradient descent in numpy. A temperature fitted on
-a calibration part of the sample turns scores into probabilities, and the rejection threshold is the
-confidence that all but REJECT of the rightly predicted calibration documents reach, MOST_THRESHOLD at most.
+a linear softmax over it is trained by stochastic gradient descent in numpy. A calibration part of the sample fits two
+numbers that turn scores into probabilities: a temperature, on whole documents, and a doubt that raises it where a document has few
+subwords, on draws of some of them. The rejection threshold separates the calibration documents that are predicted
+rightly from as many documents of random subwords, which no language is right for: it lies in the middle of the range of confidences that
+errs least, and no more than REJECT of the former stay below it.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ LEAST_STEPS = 300
 BATCH = 64
 RATE = 8.0
 REJECT = 0.001
-MOST_THRESHOLD = 0.5
+#: Numbers of subwords that calibration draws from each document, to learn how far few of them can be trusted.
+DRAWS = (1, 2, 4, 8, 16)
 #: Bytes that are scored at a time, so memory does not depend on the length of a text.
 BLOCK = 1 << 19
 
@@ -77,10 +80,17 @@ class Model:
     table: np.ndarray  #: each bucket's contribution to the logits, BUCKETS x languages
     bias: np.ndarray
     temperature: float
+    doubt: float
     threshold: float
 
-    def logits(self, texts: list[str]) -> np.ndarray:
-        """A row of logits for each text, over all of its subwords, BLOCK bytes at a time."""
+    def probabilities(self, logits: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of every language, for documents with these mean logits over so many subwords."""
+        z = logits / (self.temperature * (1 + self.doubt / np.maximum(counts, 1)))[:, None]
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
+
+    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of logits for each text, over all of its subwords, BLOCK bytes at a time, and their numbers."""
         parts = [as_words(t) for t in texts]
         ends = np.cumsum([len(p) for p in parts])
         data = np.frombuffer(b"".join(parts), np.uint8)
@@ -98,16 +108,14 @@ class Model:
             if len(owner):
                 np.add.at(sums, owner[order_starts], np.add.reduceat(self.table[buckets[keep]], order_starts, axis=0))
                 counts += np.bincount(owner, minlength=len(texts))
-        return sums / np.maximum(counts, 1)[:, None] + self.bias
+        return sums / np.maximum(counts, 1)[:, None] + self.bias, counts
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language or und, score, rejected) of each text."""
         some = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
         best, score = ["und"] * len(texts), np.zeros(len(texts))
         if some and self.languages:
-            z = self.logits([texts[i] for i in some]) / self.temperature
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
+            p = self.probabilities(*self.logits([texts[i] for i in some]))
             top = p.argmax(axis=1)
             for i, k in zip(some, top, strict=True):
                 best[i] = self.languages[k]
@@ -131,7 +139,7 @@ def train(sample: list[tuple[str, list[int]]], seed: int = 7) -> Model:
     languages = sorted({lang for lang, _ in rows})
     buckets = 1 << BUCKET_BITS
     if not languages:
-        return Model([], np.zeros((buckets, 0), np.float32), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((buckets, 0), np.float32), np.zeros(0), 1.0, 0.0, 0.0)
     random = np.random.default_rng(seed)
     rows = [rows[i] for i in random.permutation(len(rows))]
     held = rows[::5] if len(rows) >= 50 else rows
@@ -163,20 +171,45 @@ def train(sample: list[tuple[str, list[int]]], seed: int = 7) -> Model:
             np.add.at(emb, flat, -rate * np.repeat(back, lengths, axis=0).astype(np.float32))
             step += 1
     table = (emb @ out).astype(np.float32)
-    z = np.array([table[ids].mean(axis=0) + bias for _, ids in held])
+    model = Model(languages, table, bias.astype(np.float64), 1.0, 0.0, 0.0)
     right = np.array([languages.index(lang) for lang, _ in held])
 
-    def loss(t: float) -> float:
-        s = z / t
-        s = s - s.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(s)), right]).mean())
-
-    temperature = min(np.geomspace(0.05, 20, 61), key=loss)
-    p = np.exp(z / temperature - (z / temperature).max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
-    good = p.max(axis=1)[p.argmax(axis=1) == right]
-    threshold = min(float(np.quantile(good, REJECT)), MOST_THRESHOLD) if len(good) else 0.0
-    return Model(languages, table, bias.astype(np.float64), float(temperature), threshold)
+    def seen(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([table[ids].mean(axis=0) + model.bias for ids in documents]), np.array([len(ids) for ids in documents])
+
+    def loss(cases: tuple[np.ndarray, np.ndarray], of: np.ndarray) -> float:
+        return float(-np.log(np.maximum(model.probabilities(*cases)[np.arange(len(of)), of], 1e-300)).mean())
+
+    def best(name: str, values: np.ndarray, cases, of) -> None:
+        losses = []
+        for v in values:
+            setattr(model, name, float(v))
+            losses.append(loss(cases, of))
+        setattr(model, name, float(values[int(np.argmin(losses))]))
+
+    whole = seen([ids for _, ids in held])
+    best("temperature", np.geomspace(0.05, 20, 61), whole, right)
+    some = seen([random.choice(ids, min(m, len(ids)), replace=False) for _, ids in held for m in DRAWS])
+    best("doubt", np.r_[0, np.geomspace(0.1, 100, 31)], some, np.repeat(right, len(DRAWS)))
+    p = model.probabilities(*whole)
+    good = np.sort(p.max(axis=1)[p.argmax(axis=1) == right])
+    noise = np.sort(model.probabilities(*seen([random.integers(0, buckets, len(ids)) for _, ids in held])).max(axis=1))
+    model.threshold = between(good, noise)
+    return model
+
+
+def between(good: np.ndarray, noise: np.ndarray, reject: float = REJECT) -> float:
+    """The middle of the widest range of confidences with the fewest errors, good ones below and noise above; both are sorted. At most
+    the share `reject` of the good ones is below it.
+    """
+    if not len(good):
+        return 0.0
+    edges = np.unique(np.r_[0.0, good, noise, 1.0])
+    middles = (edges[1:] + edges[:-1]) / 2
+    errors = np.searchsorted(good, middles) / len(good) + 1 - np.searchsorted(noise, middles) / max(len(noise), 1)
+    least = np.flatnonzero(errors <= errors.min() + 1e-12)
+    t = float(middles[least[np.argmax((edges[1:] - edges[:-1])[least])]])
+    return min(t, float(good[int(reject * (len(good) - 1))]))
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model:
