@@ -16,12 +16,15 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import documents
+from chronolex.llm.common import cut, documents
 
 SHARDS = 8
 VIRTUAL_NODES = 64
 #: Cells of the ring: fixed, so that what the driver sees does not grow with the input.
 CELLS = 8192
+#: Rows of a cell that is ranked in parts, where that is twice the mean too, and parts of a cell at most.
+CROWD = 1 << 17
+PARTS = 4096
 
 
 def ring(shards: int, virtual_nodes: int, cells: int) -> list[tuple[int, int]]:
@@ -69,30 +72,42 @@ def plan(counts: dict[int, int], shards: int, virtual_nodes: int, cells: int, sl
     return out
 
 
-def bounded_ring(df: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, cells: int = CELLS, slack: float = 0.0) -> DataFrame:
+def bounded_ring(df: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, cells: int = CELLS, slack: float = 0.0, crowd: int = CROWD) -> DataFrame:
     """Adds shard and slot to every row of df's id and `digest` columns, which order rows within a cell.
 
-    Needs id_col and `digest`, a long that tells rows with the same id apart; rows alike in both are
-    interchangeable. Null ids share one cell, whose rows spill over clockwise like any others. An empty
-    table gives an empty result.
+    Needs id_col and `digest`, a long that tells rows with the same id apart; rows alike in both are interchangeable. Null ids share one
+    cell, whose rows spill over clockwise like any others. Columns of df may have any names; those named shard or slot are replaced. A cell
+    with more than `crowd` rows, and twice the mean, is ranked in parts that follow each other. An empty table gives an empty result.
     """
     spark = df.sparkSession
-    cell = F.shiftrightunsigned(F.xxhash64(F.lit("ring"), F.col(id_col), F.when(F.col(id_col).isNull(), F.col("digest"))), 64 - (cells.bit_length() - 1)).cast("int")
-    counted = {r[0]: r[1] for r in df.select(cell.alias("cell")).groupBy("cell").count().collect()}  # at most `cells` numbers
+    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("own_row")
+    own, digest = F.col(f"`{id_col}`"), F.col("digest")
+    cell = F.shiftrightunsigned(F.xxhash64(F.lit("ring"), own, F.when(own.isNull(), digest)), 64 - (cells.bit_length() - 1)).cast("int")
+    rows = df.select(row, cell.alias("cell"), F.xxhash64(own).alias("first"), own.alias("second"), digest.alias("third"), F.monotonically_increasing_id().alias("tie"))
+    counted = {r[0]: r[1] for r in rows.groupBy("cell").count().collect()}  # at most `cells` numbers
     pieces = plan(counted, shards, virtual_nodes, cells, slack) or [(0, 0, 0, 0, 0)]
     values = ", ".join(map(str, pieces))
     table = spark.sql(f"SELECT * FROM VALUES {values} AS t(cell, first_rank, end_rank, shard, first_slot)")
     table = table.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("first_rank", "end_rank", "shard", "first_slot"))).alias("pieces"))
-    ranked = df.withColumn("cell", cell).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64(F.col(id_col)), id_col, "digest")) - 1
-    )
+    most = max(crowd, 2 * sum(counted.values()) // cells)
+    parts = {c: min(PARTS, -(-n // most)) for c, n in counted.items() if n > most}  # fewer than cells / 2 of them
+    if parts:
+        rows = cut(rows)  # the parts of rows alike follow from their places in this table
+        split = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, parts.items())) + " AS t(cell, parts)")
+        rows = rows.join(F.broadcast(split), "cell", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("tie"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+        sizes = rows.where(F.col("cell").isin(*parts)).groupBy("cell", "part").count()  # PARTS for a crowded cell at most
+        before = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("cell", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+        rows = rows.join(F.broadcast(starts), ["cell", "part"], "left")
+    else:
+        rows = rows.withColumn("part", F.lit(0)).withColumn("start", F.lit(0).cast("long"))
+    place = F.row_number().over(Window.partitionBy("cell", "part").orderBy("first", "second", "third")) - 1
+    ranked = rows.withColumn("rank", F.coalesce("start", F.lit(0)) + place)
     placed = ranked.join(F.broadcast(table), "cell").withColumn(  # at most cells rows
         "piece", F.filter("pieces", lambda p: (p["first_rank"] <= F.col("rank")) & (F.col("rank") < p["end_rank"]))[0]
     )
-    return placed.select(
-        *[F.col(c) for c in df.columns], F.col("piece.shard").alias("shard"),
-        (F.col("piece.first_slot") + F.col("rank") - F.col("piece.first_rank")).cast("long").alias("slot"),
-    )
+    return placed.select("own_row.*", F.col("piece.shard").alias("shard"), (F.col("piece.first_slot") + F.col("rank") - F.col("piece.first_rank")).cast("long").alias("slot"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

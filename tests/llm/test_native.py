@@ -68,6 +68,46 @@ def test_ring_plan_keeps_bounds_and_clockwise_order():
         assert shard == next((s for c, s in ring if c >= cell), ring[0][1])
 
 
+def walked(counts, shards, virtual_nodes, cells, slack):
+    """Rows one by one: in each round every row that has no place yet walks to the next shard that the ring has clockwise."""
+    total = sum(counts.values())
+    room = [-(-total * (1 + slack) // shards)] * shards if slack else [total // shards + (s < total % shards) for s in range(shards)]
+    ring = sharding.ring(shards, virtual_nodes, cells)
+    way = {}
+    for cell in counts:
+        at = next((i for i, (c, _) in enumerate(ring) if c >= cell), 0)
+        way[cell] = list(dict.fromkeys(ring[(at + i) % len(ring)][1] for i in range(len(ring))))
+    rows, placed = [(c, r) for c in sorted(counts) for r in range(counts[c])], {}
+    for hop in range(shards):
+        for c, r in rows:
+            if (c, r) not in placed and room[way[c][hop]] >= 1:
+                room[way[c][hop]] -= 1
+                placed[c, r] = way[c][hop]
+    return placed
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.05, 0.5])
+def test_ring_against_row_by_row_walk(slack):
+    rng = __import__("random").Random(2)
+    counts = {rng.randrange(256): rng.randint(1, 40) for _ in range(60)} | {7: 300}  # a cell fuller than a shard
+    got = {(c, r): s for c, a, b, s, _ in sharding.plan(counts, 8, 32, 256, slack) for r in range(a, b)}
+    assert got == walked(counts, 8, 32, 256, slack)
+
+
+def test_sharding_cuts_crowded_cells_and_takes_any_names(spark):
+    names = ("cell", "rank", "piece", "shard", "slot", "tie", "part", "start", "pieces", "first")
+    rows = [(7 if i % 3 == 0 else i, i % 5) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, digest long").withColumns({n: F.lit(n) for n in names})
+    whole, cut_ = (sharding.bounded_ring(df, crowd=n).collect() for n in (1 << 17, 16))
+    for got in (whole, cut_):
+        loads = Counter(r["shard"] for r in got)
+        assert len(got) == 900 and max(loads.values()) - min(loads.values()) <= 1
+        assert all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(loads[s])) for s in loads)
+        assert all(r["cell"] == "cell" and isinstance(r["slot"], int) for r in got)
+    per = lambda got: Counter((r["doc_id"], r["shard"]) for r in got)
+    assert per(whole) == per(cut_)
+
+
 def test_limited_movement():
     counts = dict.fromkeys(range(4096), 25)
     where = lambda n: {(c, r): s for c, a, b, s, _ in sharding.plan(counts, n, 64, 4096, slack=0.1) for r in range(a, b)}
@@ -144,6 +184,25 @@ def test_mixing_query_is_sorted_by_position(spark, sf_dir):
     assert keys == sorted(keys) and len({r["position"] for r in rows}) > 100
 
 
+def test_mixing_cuts_crowded_ids(spark):
+    texts = ["w " * (i % 5 + 1) for i in range(400)]
+    df = docs(spark, texts, [["a", "b", None][i % 3] for i in range(400)], ids=[[7, None, i][i % 3 if i % 2 else 2] for i in range(400)]).repartition(4)
+    whole, cut_ = (mixing.curriculum(df, words_count(F.col("text")), crowd=n).collect() for n in (mixing.CROWD, 3))
+    assert Counter(map(str, whole)) == Counter(map(str, cut_))
+
+
+def test_queries_agree_with_their_sql(spark, sf_dir):
+    import duckdb
+    import pandas
+
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for query, sql in ((mixing.op6, mixing.OP6_SQL), (dedup.op9, dedup.OP9_SQL)):
+        got, want = query(spark, sf_dir).toPandas(), duck.sql(sql).df()
+        got, want = (x[sorted(x.columns)].sort_values("doc_id").reset_index(drop=True) for x in (got, want))
+        pandas.testing.assert_frame_equal(got, want[got.columns], check_dtype=False)
+
+
 def test_mixing_schedule_inverts(spark):
     df = spark.range(101).select((F.col("id") / 100).alias("u"))
     for place, s in ((0, 0.5), (1, -0.5)):
