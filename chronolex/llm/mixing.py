@@ -6,7 +6,8 @@ t where that cumulative demand reaches u. Documents are range-sorted by this pos
 query, which has one row a document, and by that of every copy in the pipeline's stage.
 
 Sums over a source run in two levels, so a source with a third of all rows is not one task: buckets of a
-hash order are summed first, then rows within a bucket.
+hash order are summed first, then rows within a bucket. A bucket with more than CROWD rows holds an id that very many rows repeat, or
+null ids; it is cut by id, size and a salt, as rows alike in id and size are interchangeable.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from chronolex.llm.common import cut, documents, words_count
 WEIGHTS = (5, 2, 1)
 #: Times a source's size at which its target stops, and copies of a document at most.
 MOST = 3
-#: Hash buckets of each source for two-level sums: three hexadecimal digits.
-DIGITS = 3
+#: Hash buckets of each source for two-level sums, in hexadecimal digits; rows of a bucket that is cut further, and salts of its rows.
+DIGITS = 4
+CROWD = 1 << 17
+SALTS = 256
 #: Slope of the schedule: a source's weight runs from 1 + SLOPE to 1 - SLOPE of its mean, or the reverse for every other one.
 SLOPE = 0.5
 
@@ -59,7 +62,7 @@ def due(u: Column, place: Column, slope: float = SLOPE) -> Column:
     return F.least(F.greatest(((1 + s) - root) / (2 * s), F.lit(0.0)), F.lit(1.0))
 
 
-def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", carry: bool = False) -> DataFrame:
+def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", carry: bool = False, crowd: int = CROWD) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, copies, taken and position (and `row` with carry).
 
     In an order by md5 of the id, the documents up to the fractional part of target / source_size get one copy more
@@ -73,9 +76,15 @@ def curriculum(df: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     base = df.select(*cols, *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []))
     # one key for a source, null too, so that rows stay where the window put them when they meet their bucket
     key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    base = base.withColumn("bucket", F.substring("digest", 1, DIGITS)).withColumn("key", key)
+    base = base.withColumn("bucket", F.substring("digest", 1, DIGITS)).withColumn("key", key).withColumn("tie", F.monotonically_increasing_id())
     if not carry:  # sums and rows both read these, so that words are counted once
         base = cut(base)
+    crowded = cut(base.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > crowd).select("key", "bucket"))  # rows / crowd at most
+    if not crowded.isEmpty():
+        salt = F.lpad(F.pmod(F.xxhash64("tie"), F.lit(SALTS)).cast("string"), 3, "0")
+        finer = F.concat("digest", F.when(F.col("id").isNull(), "0").otherwise("1"), F.lpad(F.col("size").cast("string"), 12, "0"), salt)
+        base = base.join(F.broadcast(crowded.withColumn("cut_further", F.lit(True))), ["key", "bucket"], "left")
+        base = base.withColumn("bucket", F.when(F.col("cut_further"), finer).otherwise(F.col("bucket"))).drop("cut_further")
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sizes = sums.groupBy("source").agg(F.sum("bucket_size").cast("long").alias("source_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
