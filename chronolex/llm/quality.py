@@ -32,7 +32,6 @@ class Model:
     good: bytes
     bad: bytes
     slope: float
-    short: float  #: weight of a text's shortness: a few words say little by their compressed size
     offset: float
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
@@ -44,12 +43,8 @@ class Model:
             out.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
         return out
 
-    def scores(self, raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.short * shortness(lengths) + self.offset, -500, 500)))
-
-
-def shortness(lengths: np.ndarray) -> np.ndarray:
-    return BLOCK / (BLOCK + lengths)
+    def scores(self, raw: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.offset, -500, 500)))
 
 
 def blocks(data: bytes) -> list[bytes]:
@@ -81,21 +76,21 @@ def train(sample: list[tuple[int, list[bytes]]], prior: float | None = None) ->
     by = {k: [b for q, b in sample if q == k] for k in (1, 0)}
     share = (len(by[1]) + 1) / (len(sample) + 2)
     if not by[1] or not by[0]:
-        return Model(b" ", b" ", 0.0, 0.0, float(np.log(share / (1 - share))))
+        return Model(b" ", b" ", 0.0, float(np.log(share / (1 - share))))
     build = {k: [x for i, x in enumerate(v) if i % 3] or v for k, v in by.items()}
-    model = Model(dictionary([p for x in build[1] for p in x]), dictionary([p for x in build[0] for p in x]), 0.0, 0.0, 0.0)
+    model = Model(dictionary([p for x in build[1] for p in x]), dictionary([p for x in build[0] for p in x]), 0.0, 0.0)
     pair = model.compressors()
-    held = [(k, difference(pair, x), sum(map(len, x))) for k, v in by.items() for x in v[::3]]
-    y, x, n = np.array(held, float).T
+    held = [(k, difference(pair, x)) for k, v in by.items() for x in v[::3]]
+    y, x = np.array(held, float).T
     scale = x.std() or 1.0
-    design = np.stack([x / scale, shortness(n), np.ones(len(x))], axis=1)
-    ridge = np.diag([1e-2, 1e-2, 1e-6])
-    w = np.zeros(3)
+    design = np.stack([x / scale, np.ones(len(x))], axis=1)
+    ridge = np.diag([1e-2, 1e-6])
+    w = np.zeros(2)
     for _ in range(100):  # logistic regression by damped Newton steps
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         h = design.T @ (design * np.maximum(p * (1 - p), 1e-6)[:, None]) + ridge
         w -= np.clip(np.linalg.solve(h, design.T @ (p - y) + ridge @ w), -1, 1)
-    model.slope, model.short, model.offset = float(w[0] / scale), float(w[1]), float(w[2])
+    model.slope, model.offset = float(w[0] / scale), float(w[1])
     if prior is not None and 0 < prior < 1:
         model.offset += float(np.log(prior / (1 - prior)) - np.log(y.mean() / (1 - y.mean())))
     return model
@@ -126,7 +121,10 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and score of every row, over its whole text. Null and empty text get the score of no difference."""
+    """id and score of every row, over its whole text. Null and empty text get the score of no difference.
+
+    Null ids and repeated rows give a row each, an empty table gives an empty result, and other columns are not read.
+    """
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY bytes
 
@@ -135,7 +133,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         for b in batches:
             data = [(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()]
             raw = np.array([difference(pair, blocks(d)) for d in data])
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(shared.value.scores(raw, np.array([len(d) for d in data])))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(shared.value.scores(raw))], ["id", "score"])
 
     cols = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return cols.mapInArrow(run, f"id {cols.schema['id'].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
