@@ -33,7 +33,8 @@ REACH = 400
 WEAK_ID = re.compile(r"""(?<![A-Za-z0-9])(?i:user(?:name)?|login|client_?id|account_?id|access_?key_?id|key_?id)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII)
 WEAK_SECRET = re.compile(r"""(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}""", re.ASCII)
 PRIVATE = re.compile(r"""(?<![A-Za-z0-9])(?i:pwd|pass(?:phrase)?|private_?key|credentials?)["']?[ ]*[:=][ ]*["']?([^\s"'<>(){}\[\],;]{6,})""", re.ASCII)
-ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+]*://[A-Za-z0-9._~:/@-]{4,}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?\b|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:\d{2,5}\b""", re.ASCII)
+# Schemes and hosts begin where a run of their characters does and give nothing back, so a long run is read once.
+ENDPOINT = re.compile(r"""(?<![A-Za-z0-9_+])[a-z][a-z0-9+]*+://[A-Za-z0-9._~:/@-]{4,}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?\b|(?<![A-Za-z0-9_.-])[a-z0-9-]++(?:\.[a-z0-9-]++)++:\d{2,5}\b""", re.ASCII)
 BLANK = re.compile(r"\n[ \t\r]*\n")
 
 Span = tuple[str, int, int]
@@ -121,7 +122,9 @@ def join_spans(spans: list[Span]) -> str:
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts of base spans, their digest, and all spans with those that linking adds.
 
-    Null text is empty and has no spans. A scope lies within one text, so linking needs no exchange of rows.
+    Null text is empty and has no spans; null ids and repeated rows give a row each, an empty table gives an empty result, and
+    other columns are not read. All patterns read a text once, so very long texts take time in proportion. A scope lies
+    within one text, so linking needs no exchange of rows.
     """
     small_batches(df.sparkSession)
 
