@@ -127,14 +127,43 @@ class Stream:
 
 
 def _sections(rows: np.ndarray) -> Iterator[bytes]:
+    """The sections of a PID's packets in order, several in a packet and those that span packets too; a section breaks off where a
+    packet that should carry it on is missing by its counter.
+    """
+    held, counter, before = b"", -1, b""
+
+    def whole(last: bool) -> Iterator[bytes]:
+        nonlocal held
+        while len(held) >= 3 and held[0] != 0xFF:  # 0xff fills the rest of a packet
+            size = 3 + (int.from_bytes(held[1:3], "big") & 0x0FFF)
+            if len(held) < size:
+                break
+            yield held[:size]
+            held = held[size:]
+        if last or held[:1] == b"\xff":
+            held = b""
+
     for row in rows:
         b = row.tobytes()
         at = 4 + (1 + b[4] if b[3] & 0x20 else 0)
-        if b[1] & 0x40 and at < PACKET:
-            at += 1 + b[at]
-            size = int.from_bytes(b[at + 1 : at + 3], "big") & 0x0FFF
-            if at + 3 + size <= PACKET:
-                yield b[at : at + 3 + size]
+        if not b[3] & 0x10 or at >= PACKET:
+            continue
+        if b == before and not b[1] & 0x40:  # a repeated packet inside a section
+            continue
+        if (b[3] & 15) != (counter + 1) % 16:
+            held = b""
+        counter, before = b[3] & 15, b
+        if not b[1] & 0x40:
+            if held:
+                held += b[at:]
+                yield from whole(False)
+            continue
+        start = at + 1 + b[at]
+        if held:
+            held += b[at + 1 : start]
+            yield from whole(True)
+        held = b[start:]
+        yield from whole(False)
 
 
 def demux(media: bytes) -> Stream:
@@ -204,7 +233,10 @@ def padded(text: str | None) -> tuple[int, bytes]:
 
 
 def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes and `media`, the transport stream of each text's payload. Null text is empty; equal texts give equal media."""
+    """id, n_bytes and `media`, the transport stream of each text's payload. Null text is empty; equal texts give equal media.
+
+    Null ids and repeated rows give a row each, an empty table gives an empty result, and other columns are not read.
+    """
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,10 +255,11 @@ READ = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes
 def read(df: DataFrame, media_col: str = "media") -> DataFrame:
     """Reads the streams of a media column back: digests of the payload, features, and time stamps with random-access points.
 
-    Null media reads as an empty stream; damaged streams give what their whole packets hold, with the damage counted.
+    Null media reads as an empty stream; damaged streams give what their whole packets hold, with the damage counted. Other columns are
+    kept, but for those that have the name of a result; repeated rows give a row each, an empty table gives an empty result.
     """
     small_batches(df.sparkSession)
-    kept = [c for c in df.columns if c != media_col]
+    kept = [c for c in df.columns if c not in (media_col, *READ_NAMES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,7 +275,7 @@ def read(df: DataFrame, media_col: str = "media") -> DataFrame:
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), point]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *map(pa.array, cols, types)], [*kept, *READ_NAMES])
 
-    keep = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != media_col)
+    keep = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept)
     return df.select(*[F.col(f"`{c}`") for c in kept], F.col(media_col).alias("own_media")).mapInArrow(run, f"{keep}, {READ}" if keep else READ)
 
 
