@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import held_out, small_batches
+from chronolex.llm.common import cut, held_out, small_batches
 
 ROLES = ("system", "user", "assistant")
 SEGMENT = 4096
@@ -35,7 +35,8 @@ MARKERS = {
     "assistant": ("assistant", "ai", "bot", "agent", "answer", "a", "model", "response"),
 }
 MARKER_OF = {name: role for role, names in MARKERS.items() for name in names}
-MARKER = re.compile(r"^\s*(?:[#>*\[<(|]|<\|im_start\|>)*\s*([A-Za-z]{1,12})\s*(?:[\])>*|]*\s*:[\])>*|]*|[\])>|]+)\s*", re.ASCII)
+# Runs of blanks and marks are possessive: a line that has no marker is given up after one look at each of its characters.
+MARKER = re.compile(r"^\s*+(?:(?:<\|im_start\|>|[#>*\[<(|])++\s*+)?+([A-Za-z]{1,12})\s*+(?:[\])>*|]*+\s*+:[\])>*|]*+|[\])>|]++)\s*+", re.ASCII)
 FEATURES = (4, 10, 6, 2, 2, 4)  # number of values of each observation
 
 
@@ -166,16 +167,41 @@ def render(role: str, text: str) -> str:
     return f"<|im_start|>{role}\n{text.strip()}<|im_end|>\n"
 
 
+#: Places of a segment's crowded turn numbers and of what lies between them, and parts of one, in the bits of a segment's number.
+PLACE_BITS, PART_BITS = 14, 24
+
+
+def apart(rows: DataFrame, crowded: DataFrame, segment: int) -> DataFrame:
+    """Numbers segments anew, so that a crowded turn number's rows are segments of their own, by parts of their texts' hash.
+
+    A segment has no more than `segment` crowded numbers; what lies before, between and after them are segments too. Order is kept.
+    """
+    first = lambda t: F.coalesce(t, F.lit(-(1 << 62)))  # noqa: E731  null turns come first
+    of = crowded.groupBy("conv_id", "seg").agg(F.array_sort(F.collect_list(F.struct(first(F.col("turn")).alias("t"), F.ceil(F.col("count") / segment).alias("parts")))).alias("crowd"))
+    key = F.struct("conv_id", "seg")
+    met = rows.withColumn("key", key).join(of.select(key.alias("key"), "crowd"), "key", "left").drop("key")
+    before = F.size(F.filter("crowd", lambda c: c["t"] < first(F.col("turn"))))
+    own = F.filter("crowd", lambda c: c["t"] == first(F.col("turn")))
+    place = F.when(F.col("crowd").isNull(), 0).otherwise(2 * before + F.size(own))
+    part = F.when(F.size(own) > 0, F.pmod(F.xxhash64("text"), F.lit(1 << PART_BITS)) * own[0]["parts"] / (1 << PART_BITS)).otherwise(F.lit(0.0))
+    number = F.shiftleft(F.shiftleft("seg", PLACE_BITS) + place, PART_BITS) + F.floor(F.coalesce(part, F.lit(0.0)))
+    return met.withColumn("seg", number.cast("long")).drop("crowd")
+
+
 def parse(turns: DataFrame, model: Model, segment: int = SEGMENT) -> DataFrame:
     """One row per turn of (conv_id, turn, text): role_pred, opens (another role than the turn before) and rendered.
 
     Roles are not read. Null text is an empty block; null turns come first; turns with equal numbers are ordered by
-    text; rows with null conv_id are one conversation. An empty table gives an empty result.
+    text, and where more than `segment` have the same number, by parts of the texts' hash first, so that they are as many segments; rows with
+    null conv_id are one conversation. An empty table gives an empty result.
     """
     small_batches(turns.sparkSession)
     id_type = turns.schema["conv_id"].dataType.simpleString()
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("seg", F.floor(F.coalesce("turn", F.lit(0)) / segment))
+    crowded = cut(rows.groupBy("conv_id", "seg", "turn").count().where(F.col("count") > segment))
+    if not crowded.isEmpty():
+        rows = apart(rows, crowded, segment)
     head = rows.groupBy("conv_id").agg(F.min("seg").alias("first_seg"), F.max("seg").alias("last_seg"))
     rows = rows.withColumn("key", F.struct("conv_id")).join(head.select(F.struct("conv_id").alias("key"), "first_seg", "last_seg"), "key").drop("key")
 

@@ -45,12 +45,67 @@ def test_language_id_reads_whole_texts_and_blocks(monkeypatch):
     rng = random.Random(2)
     model = langid.train([(x, langid.spaced([spoken(rng, x, 40)])[0]) for x in list(VOICES) * 40])
     texts = [spoken(rng, "en", 20) + " " + spoken(rng, "de", 400), spoken(rng, "fr", 500), "x"]
-    whole = model.logits(texts)
+    whole, counts = model.logits(texts)
     monkeypatch.setattr(langid, "BLOCK", 64)
-    assert np.allclose(whole, model.logits(texts), atol=1e-4)
+    assert np.allclose(whole, model.logits(texts)[0], atol=1e-4) and (counts == model.logits(texts)[1]).all()
     assert model.predict(texts)[0][:2] == ["de", "fr"]
 
 
+def brute_logits(model, text):
+    """Mean of the table's rows over all subwords, one by one."""
+    data = langid.as_words(text)
+    rows = []
+    for n in langid.ORDERS:
+        for i in range(len(data) - n + 1):
+            gram = data[i : i + n]
+            if b" " in gram[1:-1] or gram[:1] == gram[-1:] == b" ":
+                continue
+            code = int.from_bytes(gram, "big") * 0x9E3779B1 + n * 0x85EBCA6B & 0xFFFFFFFF
+            code = (code ^ code >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+            rows.append(code >> 32 - langid.BUCKET_BITS)
+    return (model.table[rows].astype(float).mean(axis=0) if rows else np.zeros(len(model.languages))) + model.bias, len(rows)
+
+
+def voiced_model(seed=2):
+    rng = random.Random(seed)
+    return langid.train([(x, langid.spaced([spoken(rng, x, 40)])[0]) for x in list(VOICES) * 60]), rng
+
+
+def test_language_id_is_the_mean_over_subwords():
+    model, rng = voiced_model()
+    texts = [t or "" for t in odd_texts() if len(t or "") < 5000] + [spoken(rng, x, rng.randint(1, 30)) for x in list(VOICES) * 5]
+    z, n = model.logits(texts)
+    for k, t in enumerate(texts):
+        want, count = brute_logits(model, t)
+        assert n[k] == count and np.allclose(z[k], want, atol=1e-4)
+
+
+def test_rejection_follows_calibration():
+    model, rng = voiced_model()
+    assert 0 < model.threshold < 1 and model.doubt >= 0
+    noise = [" ".join("".join(rng.choice("qxzjkvwpyç") for _ in range(rng.randint(3, 9))) for _ in range(40)) for _ in range(60)]
+    real = [spoken(rng, x, 40) for x in list(VOICES) * 20]
+    assert model.predict(noise)[2].mean() > 0.8 and not model.predict(real)[2].any()
+    assert model.predict(["x"])[1][0] < model.predict(real)[1].min()  # a letter says less than a text
+    few, many = np.sort(np.r_[0.6, 0.9, 0.95]), np.sort(np.r_[0.2, 0.3])
+    assert langid.between(few, many, 0.0) == pytest.approx(0.45) and langid.between(few, np.r_[0.97], 0.0) <= 0.6
+    assert langid.between(few[:0], many) == 0.0
+
+
+def test_models_with_null_ids_repeated_rows_and_clashing_names(spark):
+    df = docs(spark, ["the and with", "the and with", None, "x"], ids=[1, 1, None, 3]).withColumns({c: F.lit(0) for c in ("score", "lang_pred", "media", "n_bytes", "spans", "id", "row", "rejected", "label")})
+    empty = df.where("false")
+    model = voiced_model()[0]
+    good = quality.train([(k, [b"the and" if k else b"!!!"]) for k in (0, 1) * 20])
+    for run in (lambda d: langid.identify(d, model), lambda d: media.store(d.drop("n_bytes", "media")), lambda d: secrets.scan(d), lambda d: quality.score(d, good)):
+        rows = run(df).collect()
+        assert len(rows) == 4 and sum(r["doc_id"] is None for r in rows) == 1 and rows[0] == rows[1] and run(empty).count() == 0
+    assert [c for c in langid.stage(spark, df, "").columns] == df.columns
+    clash = media.store(docs(spark, ["a"])).withColumns({"feature": F.lit("own"), "points": F.lit(1), "other": F.lit(2)})
+    (row,) = media.read(clash).collect()
+    assert row["feature"].startswith("pid=") and row["other"] == 2 and len(row["points"]) == 1
+
+
 def test_language_id_without_labels(spark):
     df = docs(spark, ["abc", None])
     assert [tuple(r)[1:] for r in langid.identify(df, langid.fit(df)).orderBy("doc_id").collect()] == [("und", 0.0, True)] * 2
@@ -70,6 +125,27 @@ def test_quality(spark, tmp_path):
     assert len(got) == 800 + len(odd_texts())
 
 
+def test_quality_is_the_difference_block_by_block(spark):
+    import zstandard
+
+    rng = random.Random(4)
+    model = quality.train([(k, quality.blocks((spoken(rng, "en", 60) if k else spoken(rng, "en", 60).upper() + "!!").encode())) for k in (0, 1) * 60])
+    texts = odd_texts() + [spoken(rng, "de", 90)]
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs(spark, texts), model).collect()}
+    for i, t in enumerate(texts):
+        data, sizes = (t or "").encode(), [0, 0]
+        for at in range(0, len(data), quality.BLOCK):
+            for k, d in enumerate((model.good, model.bad)):
+                params = zstandard.ZstdCompressionParameters.from_level(quality.LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+                sizes[k] += len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), compression_params=params).compress(data[at : at + quality.BLOCK]))
+            if at > 40_000:  # the long texts repeat themselves
+                break
+        else:
+            z = model.slope * ((sizes[1] - sizes[0]) / len(data) if data else 0.0) + model.offset
+            assert got[i] == pytest.approx(1 / (1 + np.exp(-z)))
+    assert got[0] == got[1]
+
+
 def test_quality_without_labels(spark):
     df = docs(spark, ["a", None])
     model = quality.fit(df, spark.createDataFrame([], "doc_id long, quality int"))
@@ -122,6 +198,22 @@ def test_media_finds_late_tables():
     assert s.payload == payload and s.bad_tables == 40 and s.pid == media.DATA_PID
 
 
+def test_media_reads_tables_over_several_packets():
+    payload = bytes(range(256)) * 40
+    whole = media.mux(payload)
+    cells = [whole[i : i + 188] for i in range(0, len(whole), 188)]
+    # a program map with a long descriptor before its stream, cut into two packets
+    info = b"\x05" + bytes([200]) + b"d" * 200
+    body = (0xE000 | media.DATA_PID).to_bytes(2, "big") + (0xF000 | len(info)).to_bytes(2, "big") + info + bytes([media.STREAM_TYPE]) + (0xE000 | media.DATA_PID).to_bytes(2, "big") + b"\xf0\x00"
+    data = bytes([2]) + (0xB000 | len(body) + 9).to_bytes(2, "big") + b"\x00\x01\xc1\x00\x00" + body
+    data = b"\x00" + data + media.crc_mpeg(data).to_bytes(4, "big")
+    head = lambda start, n: bytes([0x47, (0x40 if start else 0) | media.PMT_PID >> 8, media.PMT_PID & 0xFF, 0x10 | n])
+    long_ = [head(True, 0) + data[:184], head(False, 1) + data[184:].ljust(184, b"\xff")]
+    s = media.demux(b"".join([cells[0], *long_, *cells[2:]]))
+    assert s.payload == payload and s.bad_tables == 0
+    assert media.demux(b"".join([cells[0], long_[0], *cells[2:]])).pid == -1  # its second half is missing
+
+
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("(?ai:", "(?i:"), re.ASCII)
 
 
@@ -205,12 +297,30 @@ def test_prefixed_identifiers_and_private_settings():
     assert spans(f"login=carol pwd={weak}") == [("key_id", "carol"), ("weak_secret", weak)]
 
 
+def test_hostile_texts_take_time_in_proportion():
+    import time
+
+    n = 1 << 20
+    began = time.process_time()
+    for t in ("a-" * (n // 2) + "1", "a." * (n // 2) + "1", "a+" * (n // 2) + "1", "1." * (n // 2), "user" * (n // 4) + ":1", "token " * (n // 6) + "1", "\n \t" * (n // 3) + "1=", "x" * n + "1", "pass:" * (n // 5) + "1"):
+        secrets.linked_spans(t, secrets.base_spans(t))
+    for t in (" " * n, "a" + " " * n, "<" * n, "user" + "]" * n, "\n" * n, "user \n" * (n // 6), "[" + " " * n + "user" + " " * n):
+        chat.blocks(t)
+        chat.observe(*chat.marker(t), True)
+    assert time.process_time() - began < 16
+
+
+def test_markers():
+    for line, role in (("User: hi", "user"), ("  [Bot] hi", "assistant"), ("<|im_start|>system: x", "system"), ("## Human : y", "user"), ("**AI:** z", "assistant"), ("> q> w", "user"), ("me", ""), ("hello: x", ""), ("A (b", "")):
+        assert chat.marker(line)[0] == role, line
+    assert chat.marker("**AI:** z")[1] == "z"
+
+
 def check_packing(rows, texts, capacity=1024):
     from tokenizers import Tokenizer
     import public_tokenizers
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -231,6 +341,79 @@ def check_packing(rows, texts, capacity=1024):
         assert at <= capacity
 
 
+def test_ids_are_those_of_the_contract():
+    from tokenizers import Tokenizer
+
+    tok, enc = Tokenizer.from_file(packing.vocabulary_path()), packing.encoder(packing.vocabulary_path())
+    assert enc.encode("a <|endoftext|> x", allowed_special="all") == [64, 220, 50256, 2124]
+    for t in [*(t or "" for t in odd_texts()), "<|endoftext|>" * 3, "<|endoftext", "a<|endoftext|>\n\n b  c", "<|im_start|>"]:
+        assert enc.encode(t, allowed_special="all") == tok.encode(t, add_special_tokens=False).ids
+
+
+def best_fit(sizes, capacity):
+    bins = packing.Bins(capacity)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        bins.best_fit(i, sizes[i])
+    return len(bins.all())
+
+
+def optimum(sizes, capacity):
+    """Fewest bins, by trying every bin for every item in turn."""
+    best = [len(sizes)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + sizes[i] <= capacity:
+                place(i + 1, [*bins[:k], bins[k] + sizes[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def triplets(rng, n, capacity=1000):
+    """Three pieces of between a quarter and a half of a bin that fill it: a best fit rarely finds them."""
+    out = []
+    for _ in range(n):
+        a = rng.randint(380, 490)
+        b = rng.randint(251, (capacity - a) // 2)
+        out += [a, b, capacity - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_evolution_beats_best_fit_where_that_is_possible():
+    rng = random.Random(3)
+    saved = 0
+    for seed in range(4):
+        sizes = triplets(rng, 40)
+        found = packing.evolve(sizes, 1000, seed=seed)
+        assert sorted(i for _, items in found for i in items) == list(range(120)) and all(f == 1000 - sum(sizes[i] for i in x) >= 0 for f, x in found)
+        assert 40 <= len(found) <= best_fit(sizes, 1000)
+        saved += best_fit(sizes, 1000) - len(found)
+    assert saved >= 8
+
+
+def test_evolution_finds_the_optimum_of_small_cases():
+    rng = random.Random(5)
+    for _ in range(40):
+        sizes = [rng.randint(20, 70) for _ in range(9)]
+        assert len(packing.evolve(sizes, 100, population=8, generations=40)) == optimum(sizes, 100)
+
+
+def test_migrants_are_not_lost():
+    rng = random.Random(6)
+    sizes = triplets(rng, 30)
+    bins = packing.evolve(sizes, 1000, seed=1)
+    again = packing.evolve(sizes, 1000, seed=2, migrants=[items for _, items in bins])
+    assert len(again) <= len(bins)
+
+
 def test_packing(spark):
     rng = random.Random(8)
     texts = odd_texts() + [" ".join(rng.choice(["alpha", "beta", "qrs", "é"]) for _ in range(rng.randint(0, 900))) for _ in range(150)]
@@ -344,3 +527,35 @@ def test_transcripts(spark):
     rows = chat.parse_transcripts(df, chat.train(by)).orderBy("turn").collect()
     assert [r["role_pred"] for r in rows] == ["system", "user", "assistant", "user"]
     assert rows[1]["rendered"] == "<|im_start|>user\nhello there?\nmore of it<|im_end|>\n"
+
+
+def test_op4_reads_every_turn(spark, sf_dir):
+    rows = chat.op4(spark, sf_dir)
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    assert rows.count() == turns.count() and set(r[0] for r in rows.select("role_pred").distinct().collect()) <= set(chat.ROLES)
+    both = rows.join(turns, ["conv_id", "turn"]).where("held_out")
+    assert both.where("role_pred = role").count() > 0.9 * both.count()
+
+
+def test_crowded_turn_numbers_are_cut(spark):
+    rng = random.Random(7)
+    rows = [(1, 0, "hello there")] + [(1, 3, f"turn {rng.random()}" + " word" * rng.randint(0, 30)) for _ in range(300)] + [(1, 5, "bye?")] + [(None, None, f"x {i}") for i in range(80)] + [(2, t, "a b c") for t in range(12)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    model = chat.train([[("user", "a b?"), ("assistant", "c " * 30)]] * 5)
+    got = chat.parse(df, model, segment=8)
+    assert got.count() == len(rows)
+    numbered = df.withColumn("seg", F.floor(F.coalesce("turn", F.lit(0)) / 8))
+    crowded = numbered.groupBy("conv_id", "seg", "turn").count().where("count > 8")
+    cut_ = chat.apart(numbered, crowded, 8)
+    sizes = {tuple(r)[:2]: r["count"] for r in cut_.groupBy("conv_id", "seg").count().collect()}
+    assert max(sizes.values()) < 30 and sum(sizes.values()) == len(rows)  # parts by hash are near 8
+    order = [r["turn"] for r in cut_.where("conv_id = 1").orderBy("seg", "turn").collect()]
+    assert order == sorted(order)
+    # decoding in segments is Viterbi over the whole conversation in that order
+    one = cut_.where("conv_id = 1").orderBy("seg", "turn", "text").collect()
+    seen = [chat.observe(*chat.marker(r["text"]), i == 0) for i, r in enumerate(one)]
+    e = model.scores(seen)
+    score = lambda path: model.start[path[0]] + sum(e[i, p] for i, p in enumerate(path)) + sum(model.step[a, b] for a, b in zip(path, path[1:]))
+    by_text = {(r["turn"], r["rendered"].split("\n", 1)[1]): chat.ROLES.index(r["role_pred"]) for r in got.where("conv_id = 1").collect()}
+    path = [by_text[r["turn"], chat.render("x", r["text"]).split("\n", 1)[1]] for r in one]
+    assert score(path) == pytest.approx(score(model.viterbi(e)))

@@ -1,9 +1,13 @@
+import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import corpus_pipeline
-from helpers import docs, odd_texts
+from helpers import WORD, components, docs, odd_texts
 from test_jaccard import corpus
+from test_native import water
 
 import __spark_entry__ as entry
 
@@ -30,6 +34,51 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert sorted(r["doc_id"] for r in seen["packing"] if r["piece"] == 0) == sorted(mixed)
 
 
+def brute_mix(rows):
+    """Copies of each (id, source, size), by the order of the ids' digests within a source."""
+    total, copies = Counter(), {}
+    for _, source, size in rows:
+        total[source] += size
+    targets = water(dict(total))
+    for source in total:
+        share, at = targets[source] / total[source], 0
+        for i, _, size in sorted((r for r in rows if r[1] == source), key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest()):
+            copies[i] = math.floor(share) + (at + size / 2 < (share - math.floor(share)) * total[source])
+            at += size
+    return copies
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    from chronolex.llm import langid
+
+    rng = random.Random(2)
+    texts = [t for t in corpus(11, n=40, cloud=20) if len(t or "") < 20_000]
+    sources, langs = [rng.choice("abc") for _ in texts], ["en" if t and len(t) > 30 else None for t in texts]
+    start = docs(spark, texts, sources=sources, langs=langs)
+    start.write.parquet(str(tmp_path / "documents.parquet"))
+    rejected = langid.fit(start).predict(texts)[2]
+    left = [i for i in range(len(texts)) if not rejected[i]]
+    seen = {}
+    for i in left:  # ids rise, so the first of equal texts has the smallest
+        seen.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", texts[i]), i)
+    left = sorted(seen.values())
+    near = components([texts[i] for i in left], 5, 80, 100)
+    left = [i for k, i in enumerate(left) if near[k][1] == k]
+    copies = brute_mix([(i, sources[i], len(WORD.findall(texts[i]))) for i in left])
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == Counter({i: n for i, n in copies.items() if n})
+    single = [i for i, n in copies.items() if n == 1]
+    loads = Counter()
+    for r in rows:
+        loads[r["sequence_id"]] += r["length"]
+    assert max(loads.values()) <= 1024
+    packed = {r["doc_id"]: r["ids_crc32"] for r in rows if r["doc_id"] in single and r["length"] < 1024 and r["piece"] == 0}
+    from chronolex.llm import packing
+
+    want = {r["id"]: r["ids_crc32"] for r in packing.pieces(start.where(start["doc_id"].isin(single))).collect() if r["piece"] == 0}
+    assert packed.items() <= want.items()
+
+
 def test_run_is_registered(spark, tmp_path):
     docs(spark, odd_texts(), langs=["en"] * len(odd_texts())).write.parquet(str(tmp_path / "documents.parquet"))
     rows = entry.queries()["pipeline"](spark, str(tmp_path)).collect()
