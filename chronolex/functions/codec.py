@@ -154,11 +154,16 @@ def shorten_path(path: Column, width: int) -> Column:
     return F.when(F.length(path) <= width, path).when(F.lit(width < 4), F.lit("...")).otherwise(F.concat(F.lit("..."), F.right(path, F.lit(width - 3))))
 
 
-def format_bytes(size: Column) -> Column:
-    """Bytes in steps of 1024 with two digits."""
-    out = F.format_string("%d B", size.cast("long"))
-    for power, unit in ((1, "KB"), (2, "MB"), (3, "GB"), (4, "TB")):
-        out = F.when(size >= 1024**power, F.format_string(f"%.2f {unit}", size / float(1024**power))).otherwise(out)
+def format_bytes(size: Column, largest: str = "TB") -> Column:
+    """Bytes in steps of 1024 with two digits, in units up to the largest; ties go to the even digit, as in printf."""
+    units = ("KB", "MB", "GB", "TB")
+    out = F.concat(size.cast("long").cast("string"), F.lit(" B"))
+    for power, unit in enumerate(units[: units.index(largest) + 1], 1):
+        # Java's %.2f rounds the shortest decimal form half up. Fractions here are whole multiples of 2^-40, so their hundredths are exact.
+        scaled = size / float(1024**power)
+        cents = F.rint((scaled - F.floor(scaled)) * 100).cast("long")
+        text = F.format_string(f"%d.%02d {unit}", F.floor(scaled) + F.floor(cents / 100), cents % 100)
+        out = F.when(size >= 1024**power, text).otherwise(out)
     return out
 
 

@@ -27,6 +27,20 @@ def test_formats(spark):
     assert [r[0] for r in df.orderBy("n").select(codec.format_bytes(F.col("n"))).collect()] == ["1.00 KB", "1.46 MB", "5.00 GB"]
 
 
+def test_format_bytes_rounds_as_printf_and_stops_at_the_largest_unit(spark):
+    sizes = [None, 0, 1023, 1024 + 128, 1024 + 640, 2**20 - 1, 3 * 2**30 + 2**27, 2**40, 1009038190449744901, 2**63 - 1]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i int, n long")
+
+    def text(n, units):
+        for power in range(len(units), 0, -1):
+            if n is not None and n >= 1024**power:
+                return f"{n / 1024.0**power:.2f} {units[power - 1]}"
+        return n if n is None else f"{n} B"
+
+    got = df.orderBy("i").select(codec.format_bytes(F.col("n")), codec.format_bytes(F.col("n"), "GB"), codec.format_bytes(F.col("n"), "KB")).collect()
+    assert [tuple(r) for r in got] == [(text(n, ["KB", "MB", "GB", "TB"]), text(n, ["KB", "MB", "GB"]), text(n, ["KB"])) for n in sizes]
+
+
 def test_coverage(spark):
     rows = [("x", y, 0, 0) for y in (2000, 2001, 2002, 2005)] + [("y", y, 1, 1) for y in (2000, 2002)]
     df = spark.createDataFrame(rows, "ngram string, year int, match_count long, volume_count long")

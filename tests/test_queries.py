@@ -37,6 +37,16 @@ def test_query(spark, sf_dir, duck, name):
         assert got[c].dropna().tolist() == want[c].dropna().tolist(), c
 
 
+def test_format_sizes_of_large_keys(spark, tmp_path):
+    parts = [(0, 1), (1, 50), (100, 7), (2000, 3), (105131, 49), (119999, 50), (1199999, 50), (100450893, 50), (300000000, 50), (7, None), (None, 7)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    want = c.sql(ORACLE_SQL["format_sizes"]).fetchall()
+    got = [tuple(r) for r in entry.queries()["format_sizes"](spark, str(tmp_path)).collect()]
+    assert len(want) == len(parts) and set(got) == set(want) and len(got) == len(want)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
